@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, url_filters
+from . import chat, sentencepiece_bpe, url_filters
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op2_chat_formatting": chat.op2_chat_formatting,
+        "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
         "op10_url_filters": url_filters.op10_url_filters,
     }
 
