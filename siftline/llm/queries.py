@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, sentencepiece_bpe, url_filters
+from . import chat, quality, sentencepiece_bpe, url_filters
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_quality_rules": quality.op1_quality_rules,
         "op2_chat_formatting": chat.op2_chat_formatting,
         "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
         "op10_url_filters": url_filters.op10_url_filters,
@@ -16,4 +17,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": chat.oracle(), "op10_url_filters": url_filters.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op2_chat_formatting": chat.oracle(), "op10_url_filters": url_filters.oracle()}
