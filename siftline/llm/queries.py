@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, language_id, quality, sentencepiece_bpe, url_filters
+from . import chat, language_id, quality, sentencepiece_bpe, simhash, url_filters
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_quality_rules": quality.op1_quality_rules,
         "op2_chat_formatting": chat.op2_chat_formatting,
+        "op3_simhash": simhash.op3_simhash,
         "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
         "op8_language_id": language_id.op8_language_id,
         "op10_url_filters": url_filters.op10_url_filters,
