@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, language_id, quality, sentencepiece_bpe, simhash, url_filters
+from . import chat, decontaminate, language_id, quality, sentencepiece_bpe, simhash, url_filters
 
 
 def queries() -> dict[str, Callable]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable]:
         "op3_simhash": simhash.op3_simhash,
         "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
         "op8_language_id": language_id.op8_language_id,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_url_filters": url_filters.op10_url_filters,
     }
 
