@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, decontaminate, language_id, quality, sentencepiece_bpe, simhash, url_filters
+from . import chat, decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, url_filters
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable]:
         "op1_quality_rules": quality.op1_quality_rules,
         "op2_chat_formatting": chat.op2_chat_formatting,
         "op3_simhash": simhash.op3_simhash,
+        "op4_sharding": sharding.op4_sharding,
         "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
         "op8_language_id": language_id.op8_language_id,
         "op9_decontaminate": decontaminate.op9_decontaminate,
