@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, url_filters
+from . import chat, decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, url_filters, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable]:
         "op3_simhash": simhash.op3_simhash,
         "op4_sharding": sharding.op4_sharding,
         "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
+        "op7_warc": warc.op7_warc,
         "op8_language_id": language_id.op8_language_id,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_url_filters": url_filters.op10_url_filters,
@@ -21,4 +22,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.oracle(), "op2_chat_formatting": chat.oracle(), "op10_url_filters": url_filters.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op2_chat_formatting": chat.oracle(), "op7_warc": warc.oracle(), "op10_url_filters": url_filters.oracle()}
