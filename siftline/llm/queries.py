@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import chat, decontaminate, language_id, quality, sentencepiece_bpe, sharding, simhash, url_filters, warc
+from . import chat, decontaminate, language_id, line_dedup, quality, sentencepiece_bpe, sharding, simhash, url_filters, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -13,6 +13,7 @@ def queries() -> dict[str, Callable]:
         "op2_chat_formatting": chat.op2_chat_formatting,
         "op3_simhash": simhash.op3_simhash,
         "op4_sharding": sharding.op4_sharding,
+        "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_sentencepiece": sentencepiece_bpe.op6_sentencepiece,
         "op7_warc": warc.op7_warc,
         "op8_language_id": language_id.op8_language_id,
