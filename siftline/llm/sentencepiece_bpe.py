@@ -8,12 +8,13 @@ fails, and steps back where none is left; a bitfield remembers places from which
 fails once.
 
 No piece has a space mark after another character, so no piece crosses from a word into the space before the next one:
-words are encoded apart and remembered in a bounded table. That property, and that every character of a piece is a
-piece, are checked when a model is loaded.
+words are encoded apart and remembered in a bounded table. Inside a word, the same holds between a letter and those
+marks that follow a letter in no piece, so a new word is looked up in such parts. These properties, and that every
+character of a piece is a piece, are checked or derived when a model is loaded.
 
 Edge cases: null and empty texts give no ids and an empty text; characters without a piece become their UTF-8 bytes;
-very long words are encoded like others, only not remembered; other columns are kept, and an own ``ids`` or ``decoded``
-column is an error rather than silently replaced. Memory: a batch of texts, and ``REMEMBERED`` words.
+very long words are encoded like others, only not remembered; other columns are kept, and an input column named ``ids``
+or ``decoded`` is replaced. Memory: a batch of texts, and ``REMEMBERED`` words.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-#: Words that a worker remembers before it starts afresh, and the longest word that it remembers.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
+#: Words in each of a worker's two tables (when the newer is full, it becomes the older), and the longest in them.
+REMEMBERED, LONGEST_REMEMBERED = 250_000, 64
+#: Characters of text after which a batch of results is handed on.
+HANDED_ON = 2_000_000
 #: Numbers of fields and kinds of pieces in the model's file format.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -99,17 +102,25 @@ class Codec:
                 self.bytes[int(p[3:5], 16)] = i
         apart = "" if "\n" in self.characters else r"\n"
         self.words = re.compile(rf"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + (r"|\n" if apart else "")).findall
-        self.pairs: dict[tuple[str, str], bool] = {}
+        after_letter = {b for p in self.ids for a, b in zip(p, p[1:]) if a.isalpha()}
+        marks = sorted(c for c in self.characters - after_letter if not c.isalpha() and c != SPACE)
+        no_letters = "".join(c for c in map(chr, range(0x110000)) if re.match(r"[^\W\d_]", c) and not c.isalpha())
+        self.cuts = re.compile(rf"(?<=[^\W\d_{re.escape(no_letters)}])(?=[{re.escape(''.join(marks))}])").split if marks else lambda word: [word]
+        self.plain = [p.replace(SPACE, " ") if k == _NORMAL else "" if k == _CONTROL else " ⁇ " for p, k in zip(self.pieces, self.kinds)]
+        self.byte_ids = frozenset(i for i, k in enumerate(self.kinds) if k == _BYTE)
+        self.lengths = [len(p) for p in self.pieces]
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
         self._automaton = self._reversed_automaton()
 
     def _reversed_automaton(self):
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
-        for piece in self.ids:
+        for piece, number in self.ids.items():
             if self._merged(piece) == [piece]:  # others are never a result of merging
-                automaton.add_word(piece[::-1], piece)
+                automaton.add_word(piece[::-1], number)
         automaton.make_automaton()
         return automaton
 
@@ -126,80 +137,99 @@ class Codec:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging the characters of two neighbours again gives the same two pieces."""
+        key = left << 32 | right
         out = self.pairs.get(key)
         if out is None:
             if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
-            out = self.pairs[key] = self._merged(left + right) == [left, right]
+            a, b = self.pieces[left], self.pieces[right]
+            out = self.pairs[key] = self._merged(a + b) == [a, b]
         return out
 
-    def _split(self, word: str) -> list[str]:
-        """Pieces of a word whose characters are all pieces."""
-        n = len(word)
-        starting: list[list[str]] = [[] for _ in range(n)]
-        for end, piece in self._automaton.iter(word[::-1]):
-            starting[n - 1 - end].append(piece)
-        for options in starting:
-            options.sort(key=len)  # the longest is taken from the end
-        failed = bytearray(n // 8 + 1)
-        taken: list[str] = []
-        tried = [0]  # for each place on the way, how many of its pieces have been tried
-        at = 0
+    def _split(self, word: str) -> list[int]:
+        """Ids of a word whose characters are all pieces."""
+        starting: list[list[int]] = [[] for _ in word]
+        for end, number in self._automaton.iter(word[::-1]):
+            starting[~end].append(number)  # matches that end at one place come longest first
+        n, lengths, pairs = len(word), self.lengths, self.pairs
+        taken: list[int] = []
+        tried: list[int] = []  # for each piece taken, how many at its place have been tried, itself included
+        failed = None  # a bitfield over places, made when the first one fails
+        at = last = k = 0
         while at < n:
             options = starting[at]
-            for k in range(len(options) - 1 - tried[-1], -1, -1):
-                piece, end = options[k], at + len(options[k])
-                if not failed[end >> 3] >> (end & 7) & 1 and (not taken or self.compatible(taken[-1], piece)):
-                    tried[-1] = len(options) - k
-                    taken.append(piece)
-                    tried.append(0)
-                    at = end
+            for k in range(k, len(options)):
+                number = options[k]
+                if failed is not None and failed[(at + lengths[number]) >> 3] >> (at + lengths[number] & 7) & 1:
+                    continue
+                if not taken or (pairs[last | number] if last | number in pairs else self.compatible(last >> 32, number)):
+                    taken.append(number)
+                    tried.append(k + 1)
+                    at += lengths[number]
+                    last = number << 32
+                    k = 0
                     break
             else:
                 if not taken:
                     raise ValueError(f"no valid pieces for {word[:50]!r}")
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                tried.pop()
-                at -= len(taken.pop())
+                at -= lengths[taken.pop()]
+                k = tried.pop()
+                last = taken[-1] << 32 if taken else 0
         return taken
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids of a word (as native 32-bit integers) and the text that they decode to."""
-        found = self.known.get(word)
-        if found is not None:
-            return found
+    def _part(self, word: str) -> list[int]:
+        if self.characters.issuperset(word):
+            return self._split(word)
         ids: list[int] = []
         start = 0
         for i, c in enumerate(word):
             if c not in self.characters:
                 if start < i:
-                    ids += [self.ids[p] for p in self._split(word[start:i])]
+                    ids += self._split(word[start:i])
                 ids += [self.bytes[b] for b in c.encode()]
                 start = i + 1
         if start < len(word):
-            ids += [self.ids[p] for p in self._split(word[start:])]
-        out = array("i", ids).tobytes(), self._plain(ids)
+            ids += self._split(word[start:])
+        return ids
+
+    def word(self, word: str) -> tuple[bytes, str]:
+        """Ids of a word (as native 32-bit integers) and the text that they decode to."""
+        found = self.known.get(word)
+        if found is not None:
+            return found
+        found = self.older.get(word)
+        if found is None:
+            parts = [word] if word.lstrip(SPACE).isalpha() else self.cuts(word)
+            if len(parts) > 1:
+                found = b"".join([self.word(p)[0] for p in parts]), "".join([self.word(p)[1] for p in parts])
+            else:
+                ids = self._part(word)
+                found = array("i", ids).tobytes(), self._plain(ids)
         if len(word) <= LONGEST_REMEMBERED:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = out
-        return out
+                self.older, self.known = self.known, {}
+            self.known[word] = found
+        return found
 
     def _plain(self, ids) -> str:
+        kinds = self.kinds
+        if self.byte_ids.isdisjoint(ids):
+            return "".join([self.plain[i] for i in ids])
         out: list[str] = []
         run = bytearray()
         for i in ids:
-            kind = self.kinds[i]
-            if kind == _BYTE:
+            if kinds[i] == _BYTE:
                 run.append(int(self.pieces[i][3:5], 16))
                 continue
             if run:
                 out.append(run.decode("utf-8", "replace"))
                 run = bytearray()
-            if kind != _CONTROL:
-                out.append(self.pieces[i].replace(SPACE, " ") if kind == _NORMAL else " ⁇ ")
+            out.append(self.plain[i])
         if run:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
@@ -239,24 +269,29 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text") -> DataFra
         model = file.read()
     if len(model) > 64 << 20:
         raise ValueError("a model of over 64 MB isn't shipped")
-    if {"ids", "decoded"} & {c.lower() for c in df.columns}:
-        raise ValueError("columns ids and decoded are made here; rename yours")
+    df = df.drop(*[c for c in df.columns if c.lower() in {"ids", "decoded"}])
     shipped = df.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
     def run(batches):
         own = codec(shipped.value)
         for batch in batches:
-            offsets, numbers, plain, total = [0], [], [], 0
-            for value in batch.column(batch.schema.get_field_index(text)):
-                parts = own.encode_parts(value.as_py())
-                numbers += [x for x, _ in parts]
-                total += sum(len(x) for x, _ in parts) // 4
+            values = batch.column(batch.schema.get_field_index(text))
+            offsets, numbers, plain, total, size, first = [0], [], [], 0, 0, 0
+            for row in range(batch.num_rows):
+                value = values[row].as_py() or ""
+                parts = own.encode_parts(value)
+                joined = b"".join([x for x, _ in parts])
+                numbers.append(joined)
+                total += len(joined) // 4
                 offsets.append(total)
                 plain.append("".join([x for _, x in parts]).removeprefix(" "))
-            values = pa.Array.from_buffers(pa.int32(), total, [None, pa.py_buffer(b"".join(numbers))])
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(plain, pa.string())], names=[*batch.schema.names, "ids", "decoded"])
+                size += len(value)
+                if size > HANDED_ON or row + 1 == batch.num_rows:
+                    ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.Array.from_buffers(pa.int32(), total, [None, pa.py_buffer(b"".join(numbers))]))
+                    kept = batch.slice(first, row + 1 - first).columns
+                    yield pa.RecordBatch.from_arrays([*kept, ids, pa.array(plain, pa.string())], names=[*batch.schema.names, "ids", "decoded"])
+                    offsets, numbers, plain, total, size, first = [0], [], [], 0, 0, row + 1
 
     return df.mapInArrow(run, schema)
 
