@@ -58,3 +58,19 @@ def text_or_empty(column: str | Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` as a single column ``row``, so that no column of it can clash with a helper column."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def column_at(batch, path: str):
+    """A column of an Arrow batch by name, or a field of a struct column by dotted name."""
+    name, _, inner = path.partition(".")
+    column = batch.column(batch.schema.get_field_index(name))
+    if not inner:
+        return column
+    import pyarrow.compute as pc
+
+    return pc.struct_field(column, inner)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import written
+from ._common import column_at, table, written
 
 #: Masks: 1 marks a word that counts.
 MASKS = ("110110101011", "101011011011", "111000111011")
@@ -151,7 +151,7 @@ def _pass(df: DataFrame, text: str, items: list[tuple[int, str]], min_overlap: i
         for batch in batches:
             columns = list(batch.columns)
             hits, most = [], []
-            for value, items, words in zip(batch.column(names.index(text)), columns[at[0]].to_pylist(), columns[at[1]].to_pylist()):
+            for value, items, words in zip(column_at(batch, text), columns[at[0]].to_pylist(), columns[at[1]].to_pylist()):
                 found = own.overlaps(value.as_py())
                 hits.append(sorted({*items, *[i for i, _ in found]}))
                 most.append(max([words, *[n for _, n in found]]))
@@ -177,7 +177,5 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item:
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     out = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "contaminated", F.size("contaminating_items").cast("long").alias("n_items"), F.array_join(F.col("contaminating_items").cast("array<string>"), ",").alias("item_ids"), "overlap_words")

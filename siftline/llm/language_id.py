@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._common import table
+
 DOCS_PER_LANGUAGE, BYTES_PER_DOC, DICTIONARY_BYTES = 64, 2048, 65_536
 BLOCK, LEVEL = 4096, 6
 MIN_MARGIN = 0.01
@@ -31,11 +33,16 @@ _OTHERS = re.compile(r"[\W\d_]+")
 
 
 def dictionaries(labelled: DataFrame, text: str = "text", language: str = "lang", docs: int = DOCS_PER_LANGUAGE, per_doc: int = BYTES_PER_DOC, total: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """Raw content per language. The window keeps ``docs`` rows per language in each task already before its shuffle."""
+    """Raw content per language.
+
+    Copies count once: only hashes of texts are made distinct and ranked (the window keeps ``docs`` per language in each
+    task before its shuffle), and a second pass fetches the chosen texts.
+    """
     rows = labelled.filter(F.col(text).isNotNull() & (F.length(text) > 0) & F.col(language).isNotNull())
-    rows = rows.select(F.col(language).cast("string").alias("lang"), F.substring(text, 1, per_doc).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    rows = rows.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs)
+    rows = rows.select(F.col(language).cast("string").alias("lang"), F.substring(text, 1, per_doc).alias("text"), F.xxhash64(F.col(text)).alias("h"))
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs)
+    rows = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     out: dict[str, bytes] = {}
     for row in rows.orderBy("lang", "n").collect():  # at most docs rows of per_doc characters for each language
         out[row.lang] = (out.get(row.lang, b"") + letters(row.text)[:per_doc] + b" ")[:total]
@@ -94,8 +101,6 @@ def identify(df: DataFrame, content: dict[str, bytes], text: str = "text", min_m
 
 
 def op8_language_id(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
     content = dictionaries(docs.filter(~held_out).select("text", "lang"))

@@ -27,7 +27,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import table, written
 
 FAMILIES, WINDOW, MIN_CHARS = 2, 2, 60
 _LINE = r"[^\n.!?]*+(?:[\n.!?]\s*+)*+"
@@ -138,7 +138,5 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", famili
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "text", "n_removed", "removed_chars")

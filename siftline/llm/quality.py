@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._common import column_at, table, written
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 #: Rate: (numerator, denominator, scale, smallest spread, whether low values are rejected too).
 RATES = {
@@ -70,7 +72,7 @@ def measure(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataF
 
     def run(batches):
         for batch in batches:
-            rows = [measures(x.as_py()) for x in batch.column(batch.schema.get_field_index(text))]
+            rows = [measures(x.as_py()) for x in column_at(batch, text)]
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             new = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * len(MEASURES))]
             yield pa.RecordBatch.from_arrays(columns + new, names=[f.name for f in kept] + list(MEASURES))
@@ -140,16 +142,12 @@ def judge(measured: DataFrame, fences: DataFrame, language: str = "lang", source
 
 def quality_rules(df: DataFrame, text: str = "text", language: str = "lang", source: str = "source", drop_text: bool = False) -> DataFrame:
     """All of it: measure, sketch, derive thresholds, join, judge. Rejected rows are marked, not removed."""
-    from ._common import written
-
     measured = written(measure(df, text, drop_text), "measured")  # texts are measured once for sketches and judging
     fences = written(thresholds(sketches(measured, language, source)), "thresholds")
     return judge(measured, fences, language, source)
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     out = quality_rules(docs, drop_text=True)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("reasons", ",").alias("reasons"))

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._common import column_at, table
+
 SPACE = "▁"
 #: Words in each of a worker's two tables (when the newer is full, it becomes the older), and the longest in them.
 REMEMBERED, LONGEST_REMEMBERED = 250_000, 64
@@ -276,7 +278,7 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text") -> DataFra
     def run(batches):
         own = codec(shipped.value)
         for batch in batches:
-            values = batch.column(batch.schema.get_field_index(text))
+            values = column_at(batch, text)
             offsets, numbers, plain, total, size, first = [0], [], [], 0, 0, 0
             for row in range(batch.num_rows):
                 value = values[row].as_py() or ""
@@ -303,8 +305,6 @@ def default_model() -> str:
 
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = encode_decode(docs, default_model())
     return out.select(

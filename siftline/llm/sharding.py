@@ -23,7 +23,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import table, written
 
 RANGES, ROWS_PER_RANGE, MAX_RANGES, SAMPLES_PER_RANGE = 16, 1_000_000, 16_384, 50
 SNAP = 0.01
@@ -126,7 +126,5 @@ def shard_by_bytes(df: DataFrame, shards: int = 8, doc_id: str = "doc_id", text:
 
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     out = shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

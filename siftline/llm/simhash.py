@@ -27,34 +27,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import written
+from ._common import table, written
 from .components import components
 
 BITS, TILE = 64, 4096
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the shingles of ``words`` words, repeats included; zero if there are no words."""
+def shingle_hashes(text: str | None, words: int, seed: int = 42):
+    """XXH64 of each shingle of ``words`` words, repeats included, as the rows of an array of bytes; a shorter text is a
+    single shingle, and a text without words has none."""
     import numpy as np
     import xxhash
 
     parts = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
     if not parts:
-        return 0
+        return np.zeros((0, 8), np.uint8)
     line = b" ".join(parts)
-    if len(parts) <= words:
-        return xxhash.xxh64_intdigest(line, seed)
     digest = xxhash.xxh64_digest
     ends = list(accumulate(map(len, parts), lambda a, b: a + b + 1))
-    starts = [0, *[e + 1 for e in ends[: len(ends) - words]]]
+    starts = [0, *[e + 1 for e in ends[: max(0, len(ends) - words)]]]
     view = memoryview(line)
-    hashes = np.frombuffer(b"".join([digest(view[a:b], seed) for a, b in zip(starts, ends[words - 1 :])]), np.uint8).reshape(-1, 8)
+    return np.frombuffer(b"".join([digest(view[a:b], seed) for a, b in zip(starts, ends[words - 1 :] or ends[-1:])]), np.uint8).reshape(-1, 8)
+
+
+def fingerprint_of(hashes) -> int:
+    import numpy as np
+
     counts = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), 65_536):
         counts += np.unpackbits(hashes[i : i + 65_536], axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
+def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
+    """SimHash of the shingles of ``words`` words, repeats included; zero if there are no words."""
+    return fingerprint_of(shingle_hashes(text, words, seed))
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -101,14 +110,17 @@ class BKTree:
             distance = (held ^ value).bit_count()
             if distance <= radius:
                 yield held
-            for d in range(distance - radius, distance + radius + 1):
-                child = children.get(d)
-                if child is not None:
-                    stack.append(child)
+            if len(children) > 2 * radius:
+                stack += [children[d] for d in range(distance - radius, distance + radius + 1) if d in children]
+            else:
+                stack += [child for d, child in children.items() if -radius <= d - distance <= radius]
+
 
+def forest(tree_side: list[int], probes: list[int] | None, radius: int, alike=None):
+    """Edges that connect what is linked within a tile (``probes`` None), or between two tiles.
 
-def forest(tree_side: list[int], probes: list[int] | None, radius: int):
-    """Edges that connect what is linked within a tile (``probes`` None), or between two tiles."""
+    ``alike`` decides whether two fingerprints within the radius are linked; it isn't asked where they are connected.
+    """
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -124,7 +136,7 @@ def forest(tree_side: list[int], probes: list[int] | None, radius: int):
     for value in tree_side if probes is None else probes:
         for other in tree.within(value, radius):
             a, b = find(value), find(other)
-            if a != b:
+            if a != b and (alike is None or alike(value, other)):
                 parent[b] = a
                 yield value, other
         if probes is None:
@@ -187,6 +199,4 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
-    from ._common import table
-
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
