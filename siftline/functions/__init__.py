@@ -1,0 +1 @@
+"""Column functions: every one takes and returns Columns and stays inside the JVM unless its docstring says otherwise."""
