@@ -16,7 +16,7 @@ differ is settled text by text; (4) a join by id removes lines. Steps are writte
 go when a step is written.
 
 Edge cases: null and empty texts stay as they are; rows with one id (or a null one) count as one document, and within a
-document nothing is removed; rows that share an id but not the text are told apart by checking hashes again; an empty
+document nothing is removed; rows that share an id but not the text are told apart by a hash of the text; an empty
 table stays empty; further columns are kept, also with clashing names.
 """
 
@@ -70,69 +70,67 @@ def _length(se: Column) -> Column:
 
 
 def chunks(df: DataFrame, families: int = FAMILIES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h, d, se) of every chunk of ``df`` (columns d and text): hash, document, packed first line (from 1) and length."""
-    rows = df.select("d", lines(F.col("text")).alias("u")).filter(F.size("u") > 1)
-    rows = rows.select("d", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n"))
+    """(h, d, t, se) of every chunk of ``df`` (columns d and text): hash, document, hash of its text, packed first line
+    (from 1) and length."""
+    rows = df.select("d", F.xxhash64("text").alias("t"), lines(F.col("text")).alias("u"))
+    rows = rows.select("d", "t", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n"))
     rows = rows.withColumn("r", F.transform("hs", lambda h, i: F.xxhash64(h, *[F.get("hs", i + k) for k in range(1, WINDOW)])))
     found = []
     for f in range(families):
         inner = F.filter(F.sequence(F.lit(2), F.size("r")), lambda i: F.shiftright(F.get("r", i - 1), f).bitwiseAND(1) == 0)
         found.append(F.concat(F.array(F.lit(1)), inner, F.array(F.size("r") + 1)))
-    rows = rows.select("d", "hs", "n", F.explode(F.array(*found)).alias("b"))
+    rows = rows.select("d", "t", "hs", "n", F.explode(F.when(F.size("r") > 1, F.array(*found))).alias("b"))
     ends = F.transform("b", lambda s, j: F.struct(s.alias("s"), F.when(F.get("b", j + 1) >= s + 2, F.get("b", j + 1)).otherwise(F.get("b", j + 2)).alias("e")))
-    rows = rows.select("d", "hs", "n", F.explode(F.filter(ends, lambda x: x["e"].isNotNull())).alias("x"))
+    rows = rows.select("d", "t", "hs", "n", F.explode(F.filter(ends, lambda x: x["e"].isNotNull())).alias("x"))
     long_enough = F.aggregate(F.slice("n", F.col("x.s"), F.col("x.e") - F.col("x.s")), F.lit(0), lambda a, n: a + n) >= min_chars
-    return rows.filter(long_enough).select(F.xxhash64(F.slice("hs", F.col("x.s"), F.col("x.e") - F.col("x.s"))).alias("h"), "d", _packed(F.col("x.s"), F.col("x.e") - F.col("x.s")).alias("se"))
+    return rows.filter(long_enough).select(F.xxhash64(F.slice("hs", F.col("x.s"), F.col("x.e") - F.col("x.s"))).alias("h"), "d", "t", _packed(F.col("x.s"), F.col("x.e") - F.col("x.s")).alias("se"))
 
 
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(h, d, se, txt): the chunks' own texts."""
-    lists = places.groupBy("d").agg(F.collect_list(F.struct("h", "se")).alias("x"))
-    rows = docs.join(lists, "d").select("d", lines(F.col("text")).alias("u"), "x").withColumn("hs", _hashes(F.col("u")))
-    rows = rows.select("d", "u", "hs", F.explode("x").alias("x")).select("d", "u", "hs", "x.h", "x.se")
-    rows = rows.filter(F.xxhash64(F.slice("hs", _start(F.col("se")), _length(F.col("se")))) == F.col("h"))
-    return rows.select("h", "d", "se", F.array_join(F.transform(F.slice("u", _start(F.col("se")), _length(F.col("se"))), _bare), "\n").alias("txt"))
+    """(h, d, t, se, txt): the chunks' own texts."""
+    lists = places.groupBy("d", "t").agg(F.collect_list(F.struct("h", "se")).alias("x"))
+    rows = docs.withColumn("t", F.xxhash64("text")).join(lists, ["d", "t"]).select("d", "t", lines(F.col("text")).alias("u"), "x")
+    rows = rows.select("d", "t", "u", F.explode("x").alias("x")).select("d", "t", "u", "x.h", "x.se")
+    return rows.select("h", "d", "t", "se", F.array_join(F.transform(F.slice("u", _start(F.col("se")), _length(F.col("se"))), _bare), "\n").alias("txt"))
 
 
 def repeated_chunks(docs: DataFrame, families: int = FAMILIES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h, d, se) of all chunks to remove, bytes compared. ``docs``: d (no nulls) and text."""
+    """(h, d, t, se) of all chunks to remove, bytes compared. ``docs``: d (no nulls) and text."""
     all_chunks = written(chunks(docs, families, min_chars), "chunks")
     repeated = all_chunks.groupBy("h").agg(F.min("d").alias("o"), F.max("d").alias("m")).filter("o < m").select("h", "o")
-    places = written(all_chunks.join(repeated, "h").select("h", "d", "se", "o"), "places")
+    places = written(all_chunks.join(repeated, "h").select("h", "d", "t", "se", "o"), "places")
     texts = _texts(docs, places)
     unequal = written(texts.groupBy("h").agg(F.min("txt").alias("a"), F.max("txt").alias("b")).filter("a <> b").select("h"), "unequal")
-    agreed = places.filter("d > o").select("h", "d", "se")
+    agreed = places.filter("d > o").select("h", "d", "t", "se")
     if unequal.isEmpty():
         return agreed
     # different texts under one hash: settle each text by itself
     own = written(texts.join(unequal, "h", "left_semi"), "settled")
     firsts = own.groupBy("h", "txt").agg(F.min("d").alias("o"))
-    return agreed.join(unequal, "h", "left_anti").union(own.join(firsts, ["h", "txt"]).filter("d > o").select("h", "d", "se"))
+    return agreed.join(unequal, "h", "left_anti").union(own.join(firsts, ["h", "txt"]).filter("d > o").select("h", "d", "t", "se"))
 
 
 def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", families: int = FAMILIES, min_chars: int = MIN_CHARS, max_removed: float = 1.0) -> DataFrame:
     """(row struct, text, n_lines, n_removed, removed_chars, spared): ``row`` holds the input row, ``text`` what is left.
 
-    ``spared``: more than ``max_removed`` of the characters would have gone, and none were.
+    ``spared``: more than ``max_removed`` of the characters would have gone, and none were. n_lines is null where no chunk
+    of the text repeats.
     """
     none = F.lit(-(1 << 63)).cast("long")
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), none).alias("d"), F.col(text).alias("text"))
     with _shuffle_files_go(df.sparkSession):
         gone = repeated_chunks(packed.select("d", "text"), families, min_chars)
-        spans = written(gone.groupBy("d").agg(F.collect_list(F.struct("h", "se")).alias("x")), "spans")
-    rows = packed.join(spans, "d", "left")
-    units = F.when(F.col("x").isNotNull(), lines(F.col("text")))
-    rows = rows.withColumn("u", units).withColumn("hs", _hashes(F.col("u")))
-    valid = F.filter("x", lambda x: F.xxhash64(F.slice("hs", _start(x["se"]), F.greatest(_length(x["se"]), F.lit(0)))) == x["h"])
-    covered = F.flatten(F.transform(valid, lambda x: F.sequence(_start(x["se"]), _start(x["se"]) + _length(x["se"]) - 1)))
+        spans = written(gone.groupBy("d", "t").agg(F.collect_set("se").alias("x")), "spans")
+    rows = packed.withColumn("t", F.xxhash64("text")).join(spans, ["d", "t"], "left")
+    rows = rows.withColumn("u", F.when(F.col("x").isNotNull(), lines(F.col("text"))))
+    covered = F.flatten(F.transform("x", lambda se: F.sequence(_start(se), _start(se) + _length(se) - 1)))
     rows = rows.withColumn("kept", F.when(F.size("u") > 0, F.array_except(F.sequence(F.lit(1), F.size("u")), covered)))
-    rows = rows.withColumn("left", F.when(F.col("kept").isNotNull() & (F.size("kept") < F.size("u")), F.array_join(F.transform("kept", lambda i: F.get("u", i - 1)), "")))
+    rows = rows.withColumn("left", F.when(F.col("kept").isNotNull(), F.array_join(F.transform("kept", lambda i: F.get("u", i - 1)), "")))
     chars = F.length("text") - F.length("left")
-    spared = F.col("left").isNotNull() & (chars > max_removed * F.length("text"))
-    rows = rows.withColumn("spared", spared)
+    rows = rows.withColumn("spared", F.col("left").isNotNull() & (chars > max_removed * F.length("text")))
     use = F.col("left").isNotNull() & ~F.col("spared")
     return rows.select(
-        "row", F.when(use, F.col("left")).otherwise(F.col("text")).alias("text"), F.when(F.col("u").isNull(), F.lit(None).cast("int")).otherwise(F.size("u")).alias("n_lines"),
+        "row", F.when(use, F.col("left")).otherwise(F.col("text")).alias("text"), F.when(F.col("u").isNotNull(), F.size("u")).alias("n_lines"),
         F.when(use, F.size("u") - F.size("kept")).otherwise(0).cast("long").alias("n_removed"), F.when(use, chars).otherwise(0).cast("long").alias("removed_chars"), "spared",
     )
 
