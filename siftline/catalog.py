@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 #: Modules with QUERIES: name -> (function of (spark, sf_dir), SQL or None).
-MODULES = ("siftline.plans.flagship", "siftline.plans.scalars", "siftline.plans.lines")
+MODULES = ("siftline.plans.flagship", "siftline.plans.scalars", "siftline.plans.lines", "siftline.plans.records", "siftline.plans.more")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:
