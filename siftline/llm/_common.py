@@ -65,6 +65,20 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
+#: Bytes of rows that Spark puts into one Arrow batch for a Python worker.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches by bytes as well as by rows: a worker's memory then doesn't depend on how long texts are.
+
+    The setting is read when a query starts, so it stays in the session; a session that has one keeps it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def column_at(batch, path: str):
     """A column of an Arrow batch by name, or a field of a struct column by dotted name."""
     name, _, inner = path.partition(".")

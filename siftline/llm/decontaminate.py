@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import column_at, table, written
+from ._common import bounded_batches, column_at, table, written
 
 #: Masks: 1 marks a word that counts.
 MASKS = ("110110101011", "101011011011", "111000111011")
@@ -142,6 +142,7 @@ class Index:
 
 def _pass(df: DataFrame, text: str, items: list[tuple[int, str]], min_overlap: int, identity: float) -> DataFrame:
     """Add to contaminating_items and overlap_words what one block of items gives."""
+    bounded_batches(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(items)
     names = df.columns
     at = names.index("contaminating_items"), names.index("overlap_words")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import table
+from ._common import bounded_batches, table
 
 DOCS_PER_LANGUAGE, BYTES_PER_DOC, DICTIONARY_BYTES = 64, 2048, 65_536
 BLOCK, LEVEL = 4096, 6
@@ -86,6 +86,7 @@ def identify(df: DataFrame, content: dict[str, bytes], text: str = "text", min_m
     fields = [f for f in df.schema.fields if f.name.lower() not in {"lang_pred", "score", "accepted"}]
     df = df.select(*[f.name for f in fields])
     names = [f.name for f in fields if f.name != text]
+    bounded_batches(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(content)  # DICTIONARY_BYTES per language
     schema = T.StructType([*[f for f in fields if f.name != text], *new])
 

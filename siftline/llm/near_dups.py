@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import bounded_batches, written
 from .components import components
 from .simhash import fingerprint_of, forest, shingle_hashes, signed
 
@@ -56,6 +56,7 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     """(d, sig, root): for every distinct pair of id (null: the smallest long) and text (as its SHA-1) the smallest id of its
     group. A row is the one that stays if root equals d and no smaller sig of that id has the same root.
     """
+    bounded_batches(df.sparkSession)
     rows = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("sig", F.sha1("text"))
 
     def sketch(batches):

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import column_at, table, written
+from ._common import bounded_batches, column_at, table, written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 #: Rate: (numerator, denominator, scale, smallest spread, whether low values are rejected too).
@@ -65,6 +65,7 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
 
 def measure(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataFrame:
     """``df`` with the measures as long columns; without a shuffle."""
+    bounded_batches(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in MEASURES]
     df = df.select(*[f.name for f in kept])
     kept = [f for f in kept if not (drop_text and f.name == text)]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import column_at, table
+from ._common import bounded_batches, column_at, table
 
 SPACE = "▁"
 #: Words in each of a worker's two tables (when the newer is full, it becomes the older), and the longest in them.
@@ -272,6 +272,7 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text") -> DataFra
     if len(model) > 64 << 20:
         raise ValueError("a model of over 64 MB isn't shipped")
     df = df.drop(*[c for c in df.columns if c.lower() in {"ids", "decoded"}])
+    bounded_batches(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import table, written
+from ._common import bounded_batches, table, written
 from .components import components
 
 BITS, TILE = 64, 4096
@@ -70,6 +70,7 @@ def signed(value: int) -> int:
 
 def fingerprints(df: DataFrame, text: str = "text", words: int = 4) -> DataFrame:
     """``df`` without its text, with the fingerprint as a signed 64-bit column ``fp``; no shuffle."""
+    bounded_batches(df.sparkSession)
     fields = [f for f in df.schema.fields if f.name.lower() != "fp"]
     df = df.select(*[f.name for f in fields])
     names = [f.name for f in fields if f.name != text]

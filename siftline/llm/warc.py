@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import new_path, table
+from ._common import bounded_batches, new_path, table
 
 #: Bytes after which a task begins its next archive; an archive is one row when it is read.
 ARCHIVE_BYTES = 16 << 20
@@ -190,6 +190,8 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
     Only names reach the driver, one per ``archive_bytes``. The content of a task follows from its rows alone.
     """
 
+    bounded_batches(rows.sparkSession)
+
     def run(batches):
         import uuid
 
