@@ -16,7 +16,12 @@ from .build import Query, literal, projection, read
 from .lines import DATA_TERMS
 from .records import docs
 
-c, count = F.col, F.count(F.lit(1))
+c = F.col
+
+
+def n_rows():
+    return F.count(F.lit(1))
+
 TABLES = ("page_id bigint, html string", [(-1, "<html><body><h1>T</h1><table><tr><th>a</th><th>b</th></tr><tr><td rowspan=2>1</td><td>2</td></tr><tr><td>3</td></tr></table><a href='/x/f.pdf?y=1'>f</a><img src='i.png' alt='i'></body></html>"), (-2, ""), (-3, "plain")])
 
 
@@ -60,14 +65,14 @@ def _deduplicated(spark, d):
 
 def _retry(spark, d):
     first = lambda df: df.withColumn("success", c("doc_id") % 3 != 0)
-    return stages.retry_rounds(docs(spark, d).select("doc_id"), first, 2).groupBy("round", "success").agg(count.alias("n"))
+    return stages.retry_rounds(docs(spark, d).select("doc_id"), first, 2).groupBy("round", "success").agg(n_rows().alias("n"))
 
 
 QUERIES: dict[str, Query] = {
     "H-01": (lambda sp, d: pages(sp, d).select("page_id", s.clean_basic(h.html_to_text(c("html"))).alias("text")), None),
     "H-02": (lambda sp, d: pages(sp, d).select("page_id", h.without_boilerplate(c("html"), (".ad",)).alias("text")), None),
     "H-03": (lambda sp, d: pages(sp, d).select("page_id", h.article(c("html"), ("article",)).alias("a")).select("page_id", "a.text", "a.selector", F.round("a.confidence", 6).alias("confidence")), None),
-    "H-04": (lambda sp, d: read(sp, d, "pages").select(s.domain_of(c("url")).alias("domain"), h.article(c("html"), ("article",)).alias("a")).groupBy("domain", c("a.selector").alias("selector")).agg(count.alias("n")), None),
+    "H-04": (lambda sp, d: read(sp, d, "pages").select(s.domain_of(c("url")).alias("domain"), h.article(c("html"), ("article",)).alias("a")).groupBy("domain", c("a.selector").alias("selector")).agg(n_rows().alias("n")), None),
     "H-05": (lambda sp, d: pages(sp, d).select("page_id", F.posexplode(h.tables(c("html"))).alias("i", "t")).select(F.concat(c("page_id").cast("string"), F.lit("#t"), F.lpad((c("i") + 1).cast("string"), 3, "0")).alias("table_id"), F.size("t").alias("n_rows"), F.array_join(F.get("t", 0), "|").alias("header")), None),
     "H-06": (lambda sp, d: pages(sp, d).select("page_id", F.size(h.links(c("html"), F.lit("http://x/"), "image")).cast("long").alias("images")), None),
     "H-07": (lambda sp, d: pages(sp, d).select("page_id", F.array_join(F.transform(h.links(c("html"), F.lit("http://x/")), lambda x: x["url"]), ",").alias("files")), None),
@@ -83,7 +88,7 @@ QUERIES: dict[str, Query] = {
     "F-23": projection("documents", "doc_id", {"title": (lambda: p.normalize_title(F.get(F.split("text", "\n"), 0)), "regexp_replace(regexp_replace(lower(string_split(text, chr(10))[1]), '\\s+', '', 'g'), '[，,。.、；;：:！!？?‘’“”\"''（）()【】\\[\\]《》<>〈〉—_·•|/\\\\-]', '', 'g')")}),
     "F-32": (lambda sp, d: literal(sp, *TABLES).select("page_id", F.to_json(h.tables(c("html"))).alias("tables")), "SELECT * FROM (VALUES (-1::BIGINT, '[[[\"a\",\"b\"],[\"1\",\"2\"],[\"1\",\"3\"]]]'), (-2, '[]'), (-3, '[]')) t(page_id, tables)"),
     "IO-01": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string").select("line_no", c("record.doc_id").alias("doc_id"), "error", "raw"), "SELECT doc_id AS line_no, CASE WHEN doc_id % 10 > 2 THEN doc_id END AS doc_id, CASE WHEN doc_id % 10 < 2 THEN 'not a JSON object' END AS error, CASE doc_id % 10 WHEN 0 THEN '{bad' WHEN 1 THEN '[1]' END AS raw FROM documents WHERE doc_id % 10 <> 2"),
-    "IO-02": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string", "error").groupBy("error").agg(count.alias("n")), "SELECT CASE doc_id % 10 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'not a JSON object' WHEN 2 THEN 'blank line' END AS error, count(*) AS n FROM documents GROUP BY 1"),
+    "IO-02": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string", "error").groupBy("error").agg(n_rows().alias("n")), "SELECT CASE doc_id % 10 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'not a JSON object' WHEN 2 THEN 'blank line' END AS error, count(*) AS n FROM documents GROUP BY 1"),
     "IO-05": (lambda sp, d: jsonl.validate(jsonl.parse_lines(_lines(sp, d), "doc_id long, text string")), "SELECT 'f' AS file, count(*) AS n, count(*) FILTER (doc_id % 10 < 2) AS bad FROM documents WHERE doc_id % 10 <> 2"),
     "IO-14": (lambda sp, d: docs(sp, d).join(read(sp, d, "pages").select(c("page_id").alias("doc_id"), "html"), "doc_id", "left").select("doc_id", c("html").isNotNull().alias("has_raw")), "SELECT doc_id, html IS NOT NULL AS has_raw FROM documents LEFT JOIN pages ON page_id = doc_id"),
     "IO-11": (lambda sp, d: docs(sp, d, "lang").select("doc_id", F.coalesce(F.create_map(F.lit("de"), F.lit("German"), F.lit("en"), F.lit("English"))[c("lang")], c("lang")).alias("label")), "SELECT doc_id, CASE lang WHEN 'de' THEN 'German' WHEN 'en' THEN 'English' ELSE lang END AS label FROM documents"),

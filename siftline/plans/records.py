@@ -15,7 +15,12 @@ from .build import Query, literal, projection, quoted, read, values
 from .lines import DATA_TERMS, MARKDOWN, _hits
 from .scalars import TEXTS, _one_line, strip
 
-c, count = F.col, F.count(F.lit(1))
+c = F.col
+
+
+def n_rows():
+    return F.count(F.lit(1))
+
 
 
 def docs(spark, d, *extra) -> DataFrame:
@@ -64,7 +69,7 @@ SELECT doc_id, CASE WHEN severe THEN 'needs_review' WHEN len(why) > 0 THEN 'part
 
 
 def _thresholds(spark, d):
-    groups = docs(spark, d, "source").groupBy("source").agg(count.alias("n")).withColumn("domain", F.concat("source", F.lit(".org")))
+    groups = docs(spark, d, "source").groupBy("source").agg(n_rows().alias("n")).withColumn("domain", F.concat("source", F.lit(".org")))
     groups = groups.union(literal(spark, "source string, n bigint, domain string", [("a", 10, "a.org"), ("b", 500, "b.org"), ("c", 5000, "c.org")]))
     value, by, on = r.threshold(c("n"), F.concat("source", F.lit(" + "), "domain"), c("source"), c("domain"), None, {"src1": 7, "src2.org": 8})
     return groups.select("source", "n", value.alias("threshold"), by.alias("by"), on.alias("enabled"))
@@ -115,7 +120,7 @@ def _line_frequency(spark, d):
 
 def _summary(spark, d):
     n = F.length("text").cast("long")
-    return docs(spark, d).agg(count.alias("documents"), F.sum(F.when(c("text") == "", 1).otherwise(0)).alias("empty"), F.sum(n).alias("chars"), F.round(F.avg(n), 6).alias("mean"), F.median(n).alias("median"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.min_by("doc_id", F.struct(n, "doc_id")).alias("shortest_id"))
+    return docs(spark, d).agg(n_rows().alias("documents"), F.sum(F.when(c("text") == "", 1).otherwise(0)).alias("empty"), F.sum(n).alias("chars"), F.round(F.avg(n), 6).alias("mean"), F.median(n).alias("median"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.min_by("doc_id", F.struct(n, "doc_id")).alias("shortest_id"))
 
 
 def _cleaned(spark, d):
@@ -128,7 +133,7 @@ _AFTER = strip("array_to_string(list_filter(list_filter(list_transform(string_sp
 def _comparison(spark, d):
     lost = F.length("text") - F.length("after")
     share = lost / F.greatest(F.length("text"), F.lit(1))
-    return _cleaned(spark, d).groupBy("source").agg(count.alias("documents"), F.sum(lost).alias("removed"), *[F.count_if(share > x / 100).alias(f"over_{x}") for x in (10, 30, 50, 80)])
+    return _cleaned(spark, d).groupBy("source").agg(n_rows().alias("documents"), F.sum(lost).alias("removed"), *[F.count_if(share > x / 100).alias(f"over_{x}") for x in (10, 30, 50, 80)])
 
 
 def _aligned(spark, d):
@@ -170,12 +175,12 @@ def _reuse(spark, d):
 
 
 def _stats(spark, d):
-    return read(spark, d, "pages").groupBy(s.organisation(c("url"), F.lit(""), {"example.com": "Com", "example.org": "Org"}).alias("org"), F.regexp_extract("url", r"//[^/]*/([a-z]{2})/", 1).alias("channel")).agg(count.alias("n"), F.count_distinct("url").alias("urls"))
+    return read(spark, d, "pages").groupBy(s.organisation(c("url"), F.lit(""), {"example.com": "Com", "example.org": "Org"}).alias("org"), F.regexp_extract("url", r"//[^/]*/([a-z]{2})/", 1).alias("channel")).agg(n_rows().alias("n"), F.count_distinct("url").alias("urls"))
 
 
 def _duplicate_counts(spark, d):
-    each = read(spark, d, "lineitem").groupBy("l_partkey").agg(count.alias("k"))
-    return each.agg(F.sum("k").alias("records"), count.alias("distinct_values"), F.count_if(c("k") > 1).alias("repeated_values"), F.sum(F.when(c("k") > 1, c("k")).otherwise(0)).alias("in_repeats"), F.sum(F.when(c("k") > 1, c("k") - 1).otherwise(0)).alias("surplus"))
+    each = read(spark, d, "lineitem").groupBy("l_partkey").agg(n_rows().alias("k"))
+    return each.agg(F.sum("k").alias("records"), n_rows().alias("distinct_values"), F.count_if(c("k") > 1).alias("repeated_values"), F.sum(F.when(c("k") > 1, c("k")).otherwise(0)).alias("in_repeats"), F.sum(F.when(c("k") > 1, c("k") - 1).otherwise(0)).alias("surplus"))
 
 
 def _top_lines(spark, d):
@@ -209,8 +214,8 @@ QUERIES: dict[str, Query] = {
     "P-12": (lambda sp, d: read(sp, d, "pages").select("page_id", F.explode(r.mark_assets(F.array(F.struct(F.lit("track(0)").alias("name"), c("url").alias("url"))), c("html"))).alias("a")).select("page_id", "a.referenced", "a.role"), "SELECT page_id, contains(html, 'track(0)') OR contains(html, '附件') AS referenced, CASE WHEN regexp_matches(url, '(?i)logo|icon|copy|wx|qrcode') THEN 'decorative' ELSE 'body_image' END AS role FROM pages"),
     "P-13": projection("pages", "page_id", {"domain": (lambda: s.domain_of(c("url")), "regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '^www\\.', '')"), "summary": (lambda: F.left("html", F.lit(200)), "left(html, 200)")}),
     "P-14": (_thresholds, "WITH g AS (SELECT source, count(*) AS n, source || '.org' AS domain FROM documents GROUP BY source UNION ALL VALUES ('a', 10, 'a.org'), ('b', 500, 'b.org'), ('c', 5000, 'c.org')) SELECT source, n, (CASE WHEN n < 20 THEN NULL WHEN source = 'src1' THEN 7 WHEN domain = 'src2.org' THEN 8 WHEN n < 100 THEN 5 WHEN n < 1000 THEN 10 ELSE 20 END)::INTEGER AS threshold, CASE WHEN source = 'src1' THEN 'map:src1' WHEN domain = 'src2.org' THEN 'map:src2.org' ELSE 'policy' END AS by, n >= 20 AS enabled FROM g"),
-    "P-15": (lambda sp, d: docs(sp, d).agg((F.count_if(c("doc_id").isNull()) / count > 0.05).alias("ids_missing"), (1 - F.count_distinct("doc_id") / count > 0.05).alias("ids_repeat"), (F.count_if(~F.contains("text", F.lit("\n"))) / count > 0.7).alias("single_line")), "SELECT count(*) FILTER (doc_id IS NULL) / count(*) > 0.05 AS ids_missing, 1 - count(DISTINCT doc_id) / count(*) > 0.05 AS ids_repeat, count(*) FILTER (NOT contains(text, chr(10))) / count(*) > 0.7 AS single_line FROM documents"),
-    "P-16": (lambda sp, d: _cleaned(sp, d).agg(F.bool_and(F.length("after") <= F.length("text")).alias("no_growth"), (F.count_distinct("doc_id") == count).alias("ids_kept")), f"SELECT bool_and(length({_AFTER}) <= length(text)) AS no_growth, count(DISTINCT doc_id) = count(*) AS ids_kept FROM documents"),
+    "P-15": (lambda sp, d: docs(sp, d).agg((F.count_if(c("doc_id").isNull()) / n_rows() > 0.05).alias("ids_missing"), (1 - F.count_distinct("doc_id") / n_rows() > 0.05).alias("ids_repeat"), (F.count_if(~F.contains("text", F.lit("\n"))) / n_rows() > 0.7).alias("single_line")), "SELECT count(*) FILTER (doc_id IS NULL) / count(*) > 0.05 AS ids_missing, 1 - count(DISTINCT doc_id) / count(*) > 0.05 AS ids_repeat, count(*) FILTER (NOT contains(text, chr(10))) / count(*) > 0.7 AS single_line FROM documents"),
+    "P-16": (lambda sp, d: _cleaned(sp, d).agg(F.bool_and(F.length("after") <= F.length("text")).alias("no_growth"), (F.count_distinct("doc_id") == n_rows()).alias("ids_kept")), f"SELECT bool_and(length({_AFTER}) <= length(text)) AS no_growth, count(DISTINCT doc_id) = count(*) AS ids_kept FROM documents"),
     "P-17": (_llm, "SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'retry' WHEN quality * 0.5 + 0.3 < 0.6 THEN 'low_quality' WHEN toxic = 1 THEN 'topic_excluded' WHEN doc_id % 6 < 4 THEN 'manual_review' ELSE 'keep' END AS policy_status FROM labels JOIN documents USING (doc_id)"),
     "P-21": (lambda sp, d: read(sp, d, "pages").withColumn("size", F.length("html")).join(read(sp, d, "pages").filter("page_id % 2 = 0").select("url", F.length("html").alias("size")), ["url", "size"], "left_anti").select("page_id"), "SELECT page_id FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.page_id % 2 = 0 AND q.url = p.url AND length(q.html) = length(p.html))"),
     "P-22": projection("documents", "doc_id", {"needs_ocr": (lambda: (c("source") == "src1") & (F.length("text") < 500), "source = 'src1' AND length(text) < 500")}),
@@ -234,38 +239,38 @@ QUERIES: dict[str, Query] = {
     "JN-04": (_manual_assets, "WITH a AS (SELECT page_id AS doc_id, url, 'name' || page_id AS name FROM pages), g AS (SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN url ELSE 'other' END AS mu, CASE WHEN doc_id % 12 = 0 THEN name ELSE 'none' END AS mn FROM a WHERE doc_id % 4 = 0) SELECT g.doc_id, a.url IS NOT NULL AS matched FROM g LEFT JOIN a ON a.doc_id = g.doc_id AND (mu = url OR mn = name)"),
     "JN-05": (_aligned, "WITH b AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents), a AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents WHERE doc_id % 7 <> 0) SELECT b.k, b.occ, b.doc_id AS before, a.doc_id AS after FROM b LEFT JOIN a USING (k, occ)"),
     "JN-06": (_survivors, "WITH h AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY regexp_replace(text, '[\\s\\x0B\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', '', 'g')) AS survivor FROM documents) SELECT * FROM h WHERE doc_id <> survivor"),
-    "JN-07": (lambda sp, d: read(sp, d, "customer").join(F.broadcast(read(sp, d, "nation").limit(1000)), c("c_nationkey") == c("n_nationkey"), "left").groupBy("n_name").agg(count.alias("n")), "SELECT n_name, count(*) AS n FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
+    "JN-07": (lambda sp, d: read(sp, d, "customer").join(F.broadcast(read(sp, d, "nation").limit(1000)), c("c_nationkey") == c("n_nationkey"), "left").groupBy("n_name").agg(n_rows().alias("n")), "SELECT n_name, count(*) AS n FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
     "JN-08": (lambda sp, d: docs(sp, d).join(read(sp, d, "labels").withColumnRenamed("doc_id", "ordinal"), c("doc_id") == c("ordinal"), "left").select("doc_id", c("ordinal").isNotNull().alias("audited")), "SELECT d.doc_id, l.doc_id IS NOT NULL AS audited FROM documents d LEFT JOIN labels l USING (doc_id)"),
-    "JN-09": (lambda sp, d: docs(sp, d).filter("doc_id % 2 = 0").join(docs(sp, d).filter("doc_id % 6 = 0").select("doc_id"), "doc_id", "left_semi").agg(count.alias("shared")), "SELECT count(*) AS shared FROM documents WHERE doc_id % 6 = 0"),
+    "JN-09": (lambda sp, d: docs(sp, d).filter("doc_id % 2 = 0").join(docs(sp, d).filter("doc_id % 6 = 0").select("doc_id"), "doc_id", "left_semi").agg(n_rows().alias("shared")), "SELECT count(*) AS shared FROM documents WHERE doc_id % 6 = 0"),
     "JN-10": (_audit, "SELECT coalesce(o_orderkey, l_orderkey) AS id, CASE WHEN o_orderstatus IS NULL THEN 'missing_fact' WHEN l_linestatus IS NULL THEN 'missing_index' WHEN o_orderstatus <> l_linestatus THEN 'status_differs' ELSE 'ok' END AS issue FROM orders FULL JOIN (SELECT * FROM lineitem WHERE l_linenumber = 1) ON o_orderkey = l_orderkey"),
     "JN-11": (_remaining, "WITH t AS (SELECT url, arg_max(struct_pack(z := size, s := status), struct_pack(a := status = 'submitted', b := size, c := status)) AS t FROM (SELECT url, length(html) + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS size, CASE WHEN page_id % 2 = 0 THEN 'submitted' ELSE 'processed' END AS status FROM pages WHERE page_id % 3 <> 0) GROUP BY url) SELECT page_id, CASE WHEN t.url IS NULL THEN 'remaining' WHEN t.t.z <> length(html) THEN 'changed' ELSE t.t.s END AS state FROM pages p LEFT JOIN t ON t.url = p.url"),
     "JN-12": (_reuse, "SELECT sha, event_id FROM (SELECT sha256(user_id::VARCHAR) AS sha, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events WHERE event_type <> 'error') WHERE rn = 1"),
-    "AG-01": (lambda sp, d: docs(sp, d, "lang", "source").select(F.explode(F.array(*[F.struct(F.lit(n).alias("field"), (s.empty(c(n).cast("string")) == "").alias("missing")) for n in ("doc_id", "text", "lang", "source")])).alias("x")).groupBy("x.field").agg(count.alias("n"), F.count_if("x.missing").alias("missing")), "SELECT field, count(*) AS n, count(*) FILTER (v IS NULL OR v = '') AS missing FROM (SELECT unnest(['doc_id', 'text', 'lang', 'source']) AS field, unnest([doc_id::VARCHAR, text, lang, source]) AS v FROM documents) GROUP BY field"),
-    "AG-02": (lambda sp, d: docs(sp, d).select(F.explode(w.found_terms(c("text"), DATA_TERMS)).alias("term")).groupBy("term").agg(count.alias("n")), f"SELECT term, count(*) AS n FROM (SELECT unnest({_hits('text', DATA_TERMS)}) AS term FROM documents) GROUP BY term"),
+    "AG-01": (lambda sp, d: docs(sp, d, "lang", "source").select(F.explode(F.array(*[F.struct(F.lit(n).alias("field"), (s.empty(c(n).cast("string")) == "").alias("missing")) for n in ("doc_id", "text", "lang", "source")])).alias("x")).groupBy("x.field").agg(n_rows().alias("n"), F.count_if("x.missing").alias("missing")), "SELECT field, count(*) AS n, count(*) FILTER (v IS NULL OR v = '') AS missing FROM (SELECT unnest(['doc_id', 'text', 'lang', 'source']) AS field, unnest([doc_id::VARCHAR, text, lang, source]) AS v FROM documents) GROUP BY field"),
+    "AG-02": (lambda sp, d: docs(sp, d).select(F.explode(w.found_terms(c("text"), DATA_TERMS)).alias("term")).groupBy("term").agg(n_rows().alias("n")), f"SELECT term, count(*) AS n FROM (SELECT unnest({_hits('text', DATA_TERMS)}) AS term FROM documents) GROUP BY term"),
     "AG-03": (lambda sp, d: dd.duplicate_groups(docs(sp, d), F.sha1(c("text").cast("binary")), "doc_id"), "SELECT sha1(text) AS key, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, key LIMIT 1000"),
     "AG-04": (lambda sp, d: dd.canonical(docs(sp, d).withColumn("url", F.concat(F.lit("x"), (c("doc_id") % 5).cast("string"))), "text", "url", "doc_id"), "SELECT CASE WHEN length(text) < 50 THEN 'url:x' || (doc_id % 5) ELSE sha1(text) END AS key, arg_max(doc_id, struct_pack(a := length(text), b := -doc_id)) AS canonical_doc_id, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY 1"),
     "AG-05": (_greedy, None),
     "AG-07": (_line_frequency, f"SELECT source AS \"group\", line, count(*) AS n_docs FROM ({_LF}) GROUP BY ALL HAVING count(*) > 1"),
     "AG-08": (_summary, "SELECT count(*) AS documents, count(*) FILTER (text = '') AS empty, sum(length(text))::BIGINT AS chars, round(avg(length(text)), 6) AS mean, median(length(text)) AS median, min(length(text)) AS shortest, max(length(text)) AS longest, arg_min(doc_id, struct_pack(a := length(text), b := doc_id)) AS shortest_id FROM documents"),
     "AG-09": (_comparison, f"WITH x AS (SELECT source, length(text) AS b, length({_AFTER}) AS a FROM documents) SELECT source, count(*) AS documents, sum(b - a)::BIGINT AS removed, " + ", ".join(f"count(*) FILTER ((b - a) / greatest(b, 1) > {k / 100}) AS over_{k}" for k in (10, 30, 50, 80)) + " FROM x GROUP BY source"),
-    "AG-10": (lambda sp, d: _cleaned(sp, d).agg(count.alias("documents"), F.count_if(c("text") != c("after")).alias("changed"), F.count_if(c("after") == "").alias("emptied")), f"SELECT count(*) AS documents, count(*) FILTER (text <> {_AFTER}) AS changed, count(*) FILTER ({_AFTER} = '') AS emptied FROM documents"),
+    "AG-10": (lambda sp, d: _cleaned(sp, d).agg(n_rows().alias("documents"), F.count_if(c("text") != c("after")).alias("changed"), F.count_if(c("after") == "").alias("emptied")), f"SELECT count(*) AS documents, count(*) FILTER (text <> {_AFTER}) AS changed, count(*) FILTER ({_AFTER} = '') AS emptied FROM documents"),
     "AG-11": (_stats, "SELECT org, channel, count(*) AS n, count(DISTINCT url) AS urls FROM (SELECT url, CASE WHEN d = 'example.com' THEN 'Com' WHEN d = 'example.org' THEN 'Org' WHEN ends_with(d, 'example.com') THEN 'Com' WHEN ends_with(d, 'example.org') THEN 'Org' ELSE d END AS org, regexp_extract(url, '//[^/]*/([a-z]{2})/', 1) AS channel FROM (SELECT url, replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), 'www.', '') AS d FROM pages)) GROUP BY ALL"),
     "AG-12": (_duplicate_counts, "WITH k AS (SELECT l_partkey, count(*) AS k FROM lineitem GROUP BY 1) SELECT sum(k)::BIGINT AS records, count(*) AS distinct_values, count(*) FILTER (k > 1) AS repeated_values, sum(CASE WHEN k > 1 THEN k ELSE 0 END)::BIGINT AS in_repeats, sum(CASE WHEN k > 1 THEN k - 1 ELSE 0 END)::BIGINT AS surplus FROM k"),
-    "AG-13": (lambda sp, d: _routed(sp, d).groupBy("route").agg(count.alias("n")), f"SELECT route, count(*) AS n FROM ({_ROUTE}) GROUP BY route"),
-    "AG-14": (lambda sp, d: _cleaned(sp, d).agg((F.count_if(F.length("after") >= 75) / count).alias("retention"), F.count_if(c("after").rlike("https?://")).alias("with_urls")), f"SELECT count(*) FILTER (length({_AFTER}) >= 75) / count(*) AS retention, count(*) FILTER (regexp_matches({_AFTER}, 'https?://')) AS with_urls FROM documents"),
+    "AG-13": (lambda sp, d: _routed(sp, d).groupBy("route").agg(n_rows().alias("n")), f"SELECT route, count(*) AS n FROM ({_ROUTE}) GROUP BY route"),
+    "AG-14": (lambda sp, d: _cleaned(sp, d).agg((F.count_if(F.length("after") >= 75) / n_rows()).alias("retention"), F.count_if(c("after").rlike("https?://")).alias("with_urls")), f"SELECT count(*) FILTER (length({_AFTER}) >= 75) / count(*) AS retention, count(*) FILTER (regexp_matches({_AFTER}, 'https?://')) AS with_urls FROM documents"),
     "AG-15": (lambda sp, d: docs(sp, d).unionByName(literal(sp, *MARKDOWN)).select(w.markdown_tables(c("text")).alias("t")).agg(F.sum("t.n_tables").alias("tables"), F.bool_and(c("t.n_rows") >= c("t.n_tables")).alias("can_enter_next_step")), f"SELECT sum(len(regexp_extract_all(k, 'P*S[PS]*')))::BIGINT AS tables, bool_and(coalesce(list_sum(list_transform(regexp_extract_all(k, 'P*S[PS]*'), lambda b: length(b) - 1)), 0) >= len(regexp_extract_all(k, 'P*S[PS]*'))) AS can_enter_next_step FROM (SELECT array_to_string(list_transform(string_split(text, chr(10)), lambda l: CASE WHEN regexp_matches(l, '^\\s*\\|*\\s*:?-{{3,}}:?\\s*(?:\\|\\s*:?-{{3,}}:?\\s*)+\\|*\\s*$') THEN 'S' WHEN contains(l, '|') THEN 'P' ELSE '-' END), '') AS k FROM (SELECT text FROM documents UNION ALL SELECT x.t FROM (VALUES {values(MARKDOWN[1])}) x(i, t)))"),
-    "AG-16": (lambda sp, d: read(sp, d, "events").groupBy("event_type").agg(count.alias("n"), F.count_distinct("user_id").alias("users")), "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type"),
-    "AG-17": (lambda sp, d: _llm(sp, d).groupBy("policy_status").agg(count.alias("n")), "SELECT CASE WHEN doc_id % 11 = 0 THEN 'retry' WHEN quality * 0.5 + 0.3 < 0.6 THEN 'low_quality' WHEN toxic = 1 THEN 'topic_excluded' WHEN doc_id % 6 < 4 THEN 'manual_review' ELSE 'keep' END AS policy_status, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1"),
-    "AG-19": (lambda sp, d: read(sp, d, "pages").groupBy((F.octet_length("url") > 40).alias("long")).agg(count.alias("n"), F.max(F.length("url")).alias("longest")), "SELECT octet_length(encode(url)) > 40 AS long, count(*) AS n, max(length(url))::INTEGER AS longest FROM pages GROUP BY 1"),
-    "AG-20": (lambda sp, d: QUERIES["P-24"][0](sp, d).select(F.explode(F.split("missing", ",")).alias("kind")).groupBy("kind").agg(count.alias("n")), "SELECT kind, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN NOT regexp_matches(lower(left(html, 5000)), '<html|<body|<!doctype') THEN 'raw_html' END, CASE WHEN NOT contains(html, '<img') THEN 'images' END], lambda x: x IS NOT NULL)) AS kind FROM pages) GROUP BY kind"),
-    "AG-21": (lambda sp, d: read(sp, d, "pages").groupBy("url").agg(count.alias("n")).filter("n > 1"), "SELECT url, count(*) AS n FROM pages GROUP BY url HAVING count(*) > 1"),
+    "AG-16": (lambda sp, d: read(sp, d, "events").groupBy("event_type").agg(n_rows().alias("n"), F.count_distinct("user_id").alias("users")), "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type"),
+    "AG-17": (lambda sp, d: _llm(sp, d).groupBy("policy_status").agg(n_rows().alias("n")), "SELECT CASE WHEN doc_id % 11 = 0 THEN 'retry' WHEN quality * 0.5 + 0.3 < 0.6 THEN 'low_quality' WHEN toxic = 1 THEN 'topic_excluded' WHEN doc_id % 6 < 4 THEN 'manual_review' ELSE 'keep' END AS policy_status, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1"),
+    "AG-19": (lambda sp, d: read(sp, d, "pages").groupBy((F.octet_length("url") > 40).alias("long")).agg(n_rows().alias("n"), F.max(F.length("url")).alias("longest")), "SELECT octet_length(encode(url)) > 40 AS long, count(*) AS n, max(length(url))::INTEGER AS longest FROM pages GROUP BY 1"),
+    "AG-20": (lambda sp, d: QUERIES["P-24"][0](sp, d).select(F.explode(F.split("missing", ",")).alias("kind")).groupBy("kind").agg(n_rows().alias("n")), "SELECT kind, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN NOT regexp_matches(lower(left(html, 5000)), '<html|<body|<!doctype') THEN 'raw_html' END, CASE WHEN NOT contains(html, '<img') THEN 'images' END], lambda x: x IS NOT NULL)) AS kind FROM pages) GROUP BY kind"),
+    "AG-21": (lambda sp, d: read(sp, d, "pages").groupBy("url").agg(n_rows().alias("n")).filter("n > 1"), "SELECT url, count(*) AS n FROM pages GROUP BY url HAVING count(*) > 1"),
     "WN-01": (lambda sp, d: dd.unique_ids(docs(sp, d, "source"), "source", "doc_id").select("doc_id", "unique_id"), "SELECT doc_id, CASE WHEN k = 1 THEN source ELSE source || '_' || k END AS unique_id FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents)"),
     "WN-02": (lambda sp, d: docs(sp, d, "source", "n_chars").withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id"))).filter("k = 1").select("source", "doc_id"), "SELECT source, arg_max(doc_id, struct_pack(a := n_chars, b := -doc_id)) AS doc_id FROM documents GROUP BY source"),
     "WN-03": (lambda sp, d: docs(sp, d, "source").groupBy("source").agg(F.min("doc_id").alias("first")).withColumn("group_no", F.dense_rank().over(Window.orderBy("first"))), "SELECT source, first, dense_rank() OVER (ORDER BY first)::INTEGER AS group_no FROM (SELECT source, min(doc_id) AS first FROM documents GROUP BY source)"),
     "WN-04": (lambda sp, d: docs(sp, d).select("doc_id", F.posexplode(w.position_ratio(F.split("text", "\n", -1))).alias("i", "ratio")).select("doc_id", "i", F.round("ratio", 6).alias("ratio")), "SELECT doc_id, (k - 1)::INTEGER AS i, round((k - 1) / greatest(n - 1, 1), 6) AS ratio FROM (SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents), unnest(range(1, n + 1)) AS u(k)"),
     "WN-05": (lambda sp, d: read(sp, d, "conversations").withColumn("again", F.coalesce(c("role") == F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn")), F.lit(False))).select("conv_id", "turn", "again"), "SELECT conv_id, turn, coalesce(role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn), false) AS again FROM conversations"),
     "WN-06": (lambda sp, d: docs(sp, d, "lang").groupBy("lang").agg(F.min("doc_id").alias("first")), "SELECT lang, min(doc_id) AS first FROM documents GROUP BY lang"),
-    "ST-01": (lambda sp, d: read(sp, d, "lineitem").groupBy("l_partkey").agg(count.alias("n")).orderBy(F.desc("n"), "l_partkey").limit(100), "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 100"),
+    "ST-01": (lambda sp, d: read(sp, d, "lineitem").groupBy("l_partkey").agg(n_rows().alias("n")).orderBy(F.desc("n"), "l_partkey").limit(100), "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 100"),
     "ST-02": (_top_lines, f"SELECT line, count(*) AS n_docs FROM ({_LF}) GROUP BY line ORDER BY n_docs DESC, line LIMIT 100"),
     "ST-03": (lambda sp, d: docs(sp, d).orderBy("doc_id").limit(20).select("doc_id"), "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 20"),
     "SM-01": (lambda sp, d: docs(sp, d).orderBy(F.xxhash64("doc_id", F.lit(20260721))).limit(100).select("doc_id"), None),
@@ -276,7 +281,7 @@ QUERIES: dict[str, Query] = {
     "SO-04": (lambda sp, d: docs(sp, d).select("doc_id").union(docs(sp, d).select("doc_id")).exceptAll(read(sp, d, "labels").select("doc_id")), "SELECT doc_id FROM (SELECT doc_id FROM documents UNION ALL SELECT doc_id FROM documents) EXCEPT ALL SELECT doc_id FROM labels"),
     "SO-05": (lambda sp, d: docs(sp, d).select("doc_id", F.array_join(F.array_intersect(w.found_terms(c("text"), DATA_TERMS), F.array(F.lit("That"), F.lit("| "))), ",").alias("both")), f"SELECT doc_id, array_to_string({_hits('text', ['| ', 'That'])}, ',') AS both FROM documents" if DATA_TERMS.index("| ") < DATA_TERMS.index("That") else None),
     "SO-06": (lambda sp, d: read(sp, d, "conversations").groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_set("role")), ",").alias("roles")), "SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM conversations GROUP BY conv_id"),
-    "SK-08": (lambda sp, d: _routed(sp, d).groupBy("route").agg(F.min("doc_id").alias("first"), count.alias("n")), f"SELECT route, min(doc_id) AS first, count(*) AS n FROM ({_ROUTE}) GROUP BY route"),
+    "SK-08": (lambda sp, d: _routed(sp, d).groupBy("route").agg(F.min("doc_id").alias("first"), n_rows().alias("n")), f"SELECT route, min(doc_id) AS first, count(*) AS n FROM ({_ROUTE}) GROUP BY route"),
     "SK-09": (lambda sp, d: _routed(sp, d).select("doc_id", F.explode(F.array_intersect(F.split("flags", ","), F.array(F.lit("short_text"), F.lit("nav_noise"), F.lit("has_image")))).alias("flag")), f"SELECT doc_id, flag FROM (SELECT doc_id, unnest(string_split(flags, ',')) AS flag FROM ({_ROUTE})) WHERE flag IN ('short_text', 'nav_noise', 'has_image')"),
     "SK-10": (lambda sp, d: docs(sp, d, "lang", "source").filter("text <> ''").select(c("doc_id").cast("string").alias("id"), "text", F.to_json(F.struct("lang", "source")).alias("metadata")), "SELECT doc_id::VARCHAR AS id, text, '{\"lang\":\"' || lang || '\",\"source\":\"' || source || '\"}' AS metadata FROM documents WHERE text <> ''"),
     "SK-11": (_export_fields, "SELECT event_id AS id, json_extract_string(props, '$.k') AS k, props IS NULL AS missing FROM events"),
