@@ -5,6 +5,8 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
+from .shipping import ship
+
 #: Modules with QUERIES: name -> (function of (spark, sf_dir), SQL or None).
 MODULES = ("siftline.plans.flagship", "siftline.plans.scalars", "siftline.plans.lines", "siftline.plans.records", "siftline.plans.more")
 
@@ -19,8 +21,18 @@ def _all() -> dict[str, tuple[Callable, str | None]]:
     return out
 
 
+def shipped(query: Callable) -> Callable:
+    """The query, with the package's sources sent to the executors first."""
+
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable]:
-    return {k: f for k, (f, _) in _all().items()}
+    return {k: shipped(f) for k, (f, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
