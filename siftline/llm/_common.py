@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word, everywhere in this subpackage: a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+from ..shipping import ship
+
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -72,8 +72,10 @@ BATCH_BYTES = 8 << 20
 def bounded_batches(spark: SparkSession) -> None:
     """Cut Arrow batches by bytes as well as by rows: a worker's memory then doesn't depend on how long texts are.
 
-    The setting is read when a query starts, so it stays in the session; a session that has one keeps it.
+    The setting is read when a query starts, so it stays in the session; a session that has one keeps it. Everything that
+    runs Python on executors calls this, so the package's sources are sent along.
     """
+    ship(spark)
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name, None) is None:
         spark.conf.set(name, str(BATCH_BYTES))
