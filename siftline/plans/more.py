@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import files
 from ..functions import html_text as h
 from ..functions import python_text as p
 from ..functions import scalars as s
@@ -36,6 +37,24 @@ def _events(spark, d):
 _STATE = "WITH e AS (SELECT user_id AS request_id, event_id AS seq, event_type <> 'error' AS ok FROM events), f AS (SELECT request_id, count(*) AS n_events, min(seq) FILTER (ok) AS first_ok, max(seq) AS latest_seq FROM e GROUP BY 1) SELECT f.request_id, n_events, coalesce(first_ok, latest_seq) AS canonical_seq, first_ok IS NOT NULL AS succeeded, latest_seq, (SELECT count(*) FROM e WHERE e.request_id = f.request_id AND NOT ok AND seq > first_ok) AS late_failures FROM f"
 
 
+def _uncertain(spark, d):
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+    rows = read(spark, d, "events").withColumn("status", F.when(c("event_id") % 3 == 0, "submitting").when(c("event_id") % 3 == 1, "submit_unknown").otherwise("success"))
+    return callbacks.submission_uncertain(rows, "ts", "status", now).select("event_id", "new_status")
+
+
+def _compare_and_set(spark, d):
+    tasks = read(spark, d, "orders").select("o_orderkey", c("o_orderstatus").alias("status"))
+    changes = read(spark, d, "orders").filter("o_orderkey % 2 = 0").select("o_orderkey", F.lit("O").alias("expected"), F.lit("F").alias("new"))
+    return callbacks.compare_and_set(tasks, changes, "o_orderkey")
+
+
+def _preflight(spark, d):
+    rows = read(spark, d, "pages").select("page_id", c("html").cast("binary").alias("content"), F.when(c("page_id") % 4 == 0, ".pdf").when(c("page_id") % 4 == 1, ".html").when(c("page_id") % 4 == 2, ".doc").otherwise(".txt").alias("ext"))
+    body = F.when(c("page_id") % 8 >= 4, F.substring("content", 200, 100000)).otherwise(c("content"))
+    return rows.select("page_id", files.preflight(body, c("ext")).alias("status"))
+
+
 def _upsert(spark, d):
     old = read(spark, d, "events").filter("event_id % 2 = 0").select("user_id", "event_id", "event_type")
     new = read(spark, d, "events").filter("event_id % 2 = 1").select("user_id", "event_id", "event_type")
@@ -95,6 +114,11 @@ QUERIES: dict[str, Query] = {
     "SS-01": (lambda sp, d: callbacks.latest_state(_events(sp, d), "user_id", "event_id", c("event_type") != "error"), _STATE),
     "SS-02": (lambda sp, d: callbacks.latest_state(_events(sp, d), "user_id", "event_id", c("event_type") == "purchase").filter("late_failures > 0").select("request_id", "late_failures"), _STATE.replace("event_type <> 'error'", "event_type = 'purchase'").replace("SELECT f.request_id", "SELECT request_id, late_failures FROM (SELECT f.request_id") + ") WHERE late_failures > 0"),
     "SS-03": (_timeouts, "SELECT event_id, CASE WHEN event_id % 3 = 0 AND ts < TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 120 MINUTE THEN 'callback_timeout' WHEN event_id % 3 = 0 THEN 'submitted' ELSE 'success' END AS new_status FROM events"),
+    "SS-04": (_uncertain, "SELECT event_id, CASE WHEN event_id % 3 = 0 AND old THEN 'submit_unknown' WHEN event_id % 3 = 1 AND old THEN 'submit_unknown_timeout' WHEN event_id % 3 = 0 THEN 'submitting' WHEN event_id % 3 = 1 THEN 'submit_unknown' ELSE 'success' END AS new_status FROM (SELECT event_id, ts < TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 120 MINUTE AS old FROM events)"),
+    "SS-06": (_compare_and_set, "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status, o_orderkey % 2 = 0 AND o_orderstatus = 'O' AS applied FROM orders"),
+    "P-19": (_preflight, "SELECT page_id, CASE WHEN page_id % 8 < 4 AND page_id % 4 <> 1 THEN 'html_disguised' WHEN page_id % 4 IN (0, 2) THEN 'magic_mismatch' ELSE 'ok' END AS status FROM pages"),
+    "P-20": (lambda sp, d: read(sp, d, "pages").select("page_id", files.true_extension(F.when(c("page_id") % 2 == 0, c("html").cast("binary")).otherwise(F.unhex(F.lit("255044462D312E34")))).alias("extension")), "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.pdf' END AS extension FROM pages"),
+    "IO-03": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string").filter("error IS NULL").select("record.doc_id", F.length("record.text").alias("n")), "SELECT doc_id, length(text)::INTEGER AS n FROM documents WHERE doc_id % 10 > 2"),
     "SS-07": (_upsert, "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id"),
     "SS-08": (lambda sp, d: _events(sp, d).join(callbacks.latest_state(_events(sp, d), "user_id", "event_id", c("event_type") != "error").select(c("request_id").alias("user_id"), "succeeded"), "user_id", "left").select("event_id", F.when(c("succeeded"), "success").otherwise("active").alias("status")), "SELECT event_id, CASE WHEN bool_or(event_type <> 'error') OVER (PARTITION BY user_id) THEN 'success' ELSE 'active' END AS status FROM events"),
     "SS-11": (_retry, "SELECT 0 AS round, true AS success, count(*) AS n FROM documents WHERE doc_id % 3 <> 0 UNION ALL SELECT 2, false, count(*) FROM documents WHERE doc_id % 3 = 0"),

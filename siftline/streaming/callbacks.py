@@ -32,6 +32,21 @@ def timed_out(tasks: DataFrame, since: str, status: str, now: Column, minutes: i
     return tasks.withColumn("new_status", F.when(F.col(status).isin(*waiting) & old, "callback_timeout").otherwise(F.col(status)))
 
 
+def submission_uncertain(tasks: DataFrame, since: str, status: str, now: Column, minutes: int = 120) -> DataFrame:
+    """Add new_status: a stale submitting task becomes submit_unknown, and a stale submit_unknown one times out; neither is
+    ever sent again by itself."""
+    old = F.col(since) < now - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    stale = F.when(old & (F.col(status) == "submit_unknown"), "submit_unknown_timeout").when(old & (F.col(status) == "submitting"), "submit_unknown")
+    return tasks.withColumn("new_status", F.coalesce(stale, F.col(status)))
+
+
+def compare_and_set(tasks: DataFrame, changes: DataFrame, key: str, status: str = "status") -> DataFrame:
+    """(key, status, applied): ``changes`` has key, expected and new; a change counts only where the status is as expected."""
+    joined = tasks.join(changes.select(F.col(key), "expected", "new"), key, "left")
+    ok = F.coalesce(F.col("expected") == F.col(status), F.lit(False))
+    return joined.select(key, F.when(ok, F.col("new")).otherwise(F.col(status)).alias(status), ok.alias("applied"))
+
+
 def upsert(current: DataFrame, changes: DataFrame, key: str, version: str) -> DataFrame:
     """The latest version of each key."""
     both = current.unionByName(changes)

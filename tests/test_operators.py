@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from siftline.functions import files
 from siftline.functions import html_text as h
 from siftline.functions import python_text as p
 from siftline.functions import scalars as s
@@ -155,3 +156,40 @@ def test_scalars(spark):
     assert one(spark, p.drop_repeated_sentences(F.col("a")), a="A long sentence with many words. Short. A long sentence with many words. Short.") == "A long sentence with many words. Short. Short."
     with pytest.raises(Exception):
         one(spark, s.safe_request_id(F.col("a")), a=" ")
+
+
+def test_files(spark):
+    import io
+    import zipfile
+
+    def office(folder, damage=False):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("[Content_Types].xml", "x")
+            z.writestr(f"{folder}/document.xml", "y" * 500)
+        data = bytearray(out.getvalue())
+        if damage:
+            data[data.find(b"yyyy") + 5] ^= 1
+        return bytes(data)
+
+    rows = [
+        (b"", ".pdf", "empty"), (b"%PDF-1.4 x %%EOF", ".pdf", "ok"), (b"%PDF-1.4 x", ".pdf", "truncated"), (b"%PDF-1.4 /Encrypt %%EOF", ".pdf", "encrypted"), (b"<HTML>", ".pdf", "html_disguised"), (b"x", ".pdf", "magic_mismatch"),
+        (office("word"), ".docx", "ok"), (office("xl"), ".docx", "wrong_structure"), (office("word", True), ".docx", "crc_error"), (b"PK\x03\x04rest", ".docx", "bad_zip"), (bytes.fromhex("D0CF11E0A1B11AE1") + b"x", ".docx", "encrypted"),
+        (bytes.fromhex("D0CF11E0A1B11AE1"), ".doc", "manual_review"), (b"x", ".doc", "magic_mismatch"), (b" \n", ".txt", "blank_text"), (b"t", ".txt", "ok"), (b"y" * 50, ".bin", "too_large"),
+    ]
+    df = spark.createDataFrame([(i, bytearray(b), e) for i, (b, e, _) in enumerate(rows)], "i int, b binary, e string")
+    got = df.select("i", files.preflight(F.col("b"), F.col("e"), 10_000).alias("s")).orderBy("i").collect()
+    assert [r.s for r in got][:-1] == [w for *_, w in rows][:-1]
+    assert df.filter("i = 15").select(files.preflight(F.col("b"), F.col("e"), 10)).first()[0] == "too_large"
+    assert files.true_extension_of(office("ppt")) == ".pptx" and files.true_extension_of(b"\x00\xff") == ".unknown" and files.true_extension_of("文本\n".encode()) == ".txt"
+
+
+def test_file_listings(spark, tmp_path):
+    for name in ("c_20240101_000000.jsonl", "c_20240301_120000.jsonl", "c_20240201_000000.jsonl", "other.txt"):
+        (tmp_path / name).write_text("{}")
+    assert jsonl.latest_file(spark, str(tmp_path)).endswith("c_20240301_120000.jsonl")
+    found = jsonl.attachments(spark, str(tmp_path), (".txt",)).collect()
+    assert [r.size for r in found] == [2]
+    paths = spark.createDataFrame([(1, "x/a.html"), (2, "none.html")], "id long, raw string")
+    listing = spark.createDataFrame([("/r/a.html",), ("/q/x/a.html",)], "path string")
+    assert [(r.id, r.path) for r in jsonl.resolve(paths, listing, ["/r", "/q"]).collect()] == [(1, "/q/x/a.html")]
