@@ -106,7 +106,7 @@ QUERIES: dict[str, Query] = {
     "F-18": (lambda sp, d: docs(sp, d).select("doc_id", s.clean_basic(p.unescape(c("text"))).alias("text")), None),
     "F-23": projection("documents", "doc_id", {"title": (lambda: p.normalize_title(F.get(F.split("text", "\n"), 0)), "regexp_replace(regexp_replace(lower(string_split(text, chr(10))[1]), '\\s+', '', 'g'), '[，,。.、；;：:！!？?‘’“”\"''（）()【】\\[\\]《》<>〈〉—_·•|/\\\\-]', '', 'g')")}),
     "F-32": (lambda sp, d: literal(sp, *TABLES).select("page_id", F.to_json(h.tables(c("html"))).alias("tables")), "SELECT * FROM (VALUES (-1::BIGINT, '[[[\"a\",\"b\"],[\"1\",\"2\"],[\"1\",\"3\"]]]'), (-2, '[]'), (-3, '[]')) t(page_id, tables)"),
-    "IO-01": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string").select("line_no", c("record.doc_id").alias("doc_id"), "error", "raw"), "SELECT doc_id AS line_no, CASE WHEN doc_id % 10 > 2 THEN doc_id END AS doc_id, CASE WHEN doc_id % 10 < 2 THEN 'not a JSON object' END AS error, CASE doc_id % 10 WHEN 0 THEN '{bad' WHEN 1 THEN '[1]' END AS raw FROM documents WHERE doc_id % 10 <> 2"),
+    "IO-01": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string").select("line_no", F.coalesce("record.doc_id", F.lit(-1).cast("long")).alias("doc_id"), "error", "raw"), "SELECT doc_id AS line_no, CASE WHEN doc_id % 10 > 2 THEN doc_id ELSE -1 END AS doc_id, CASE WHEN doc_id % 10 < 2 THEN 'not a JSON object' END AS error, CASE doc_id % 10 WHEN 0 THEN '{bad' WHEN 1 THEN '[1]' END AS raw FROM documents WHERE doc_id % 10 <> 2"),
     "IO-02": (lambda sp, d: jsonl.parse_lines(_lines(sp, d), "doc_id long, text string", "error").groupBy("error").agg(n_rows().alias("n")), "SELECT CASE doc_id % 10 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'not a JSON object' WHEN 2 THEN 'blank line' END AS error, count(*) AS n FROM documents GROUP BY 1"),
     "IO-05": (lambda sp, d: jsonl.validate(jsonl.parse_lines(_lines(sp, d), "doc_id long, text string")), "SELECT 'f' AS file, count(*) AS n, count(*) FILTER (doc_id % 10 < 2) AS bad FROM documents WHERE doc_id % 10 <> 2"),
     "IO-14": (lambda sp, d: docs(sp, d).join(read(sp, d, "pages").select(c("page_id").alias("doc_id"), "html"), "doc_id", "left").select("doc_id", c("html").isNotNull().alias("has_raw")), "SELECT doc_id, html IS NOT NULL AS has_raw FROM documents LEFT JOIN pages ON page_id = doc_id"),

@@ -72,7 +72,7 @@ def _thresholds(spark, d):
     groups = docs(spark, d, "source").groupBy("source").agg(n_rows().alias("n")).withColumn("domain", F.concat("source", F.lit(".org")))
     groups = groups.union(literal(spark, "source string, n bigint, domain string", [("a", 10, "a.org"), ("b", 500, "b.org"), ("c", 5000, "c.org")]))
     value, by, on = r.threshold(c("n"), F.concat("source", F.lit(" + "), "domain"), c("source"), c("domain"), None, {"src1": 7, "src2.org": 8})
-    return groups.select("source", "n", value.alias("threshold"), by.alias("by"), on.alias("enabled"))
+    return groups.select("source", "n", F.coalesce(value, F.lit(-1)).alias("threshold"), by.alias("by"), on.alias("enabled"))
 
 
 def _llm(spark, d):
@@ -140,7 +140,7 @@ def _aligned(spark, d):
     """Before and after by id, the k-th row of an id with the k-th."""
     before = dd.occurrence(docs(spark, d).withColumn("k", c("doc_id") % 50), "k", "doc_id")
     after = dd.occurrence(docs(spark, d).filter("doc_id % 7 <> 0").withColumn("k", c("doc_id") % 50), "k", "doc_id")
-    return before.select("k", "occ", c("doc_id").alias("before")).join(after.select("k", "occ", c("doc_id").alias("after")), ["k", "occ"], "left")
+    return before.select("k", "occ", c("doc_id").alias("before")).join(after.select("k", "occ", c("doc_id").alias("after")), ["k", "occ"], "left").withColumn("after", F.coalesce("after", F.lit(-1).cast("long")))
 
 
 def _survivors(spark, d):
@@ -213,7 +213,7 @@ QUERIES: dict[str, Query] = {
     "P-10": (_quality, _QUALITY),
     "P-12": (lambda sp, d: read(sp, d, "pages").select("page_id", F.explode(r.mark_assets(F.array(F.struct(F.lit("track(0)").alias("name"), c("url").alias("url"))), c("html"))).alias("a")).select("page_id", "a.referenced", "a.role"), "SELECT page_id, contains(html, 'track(0)') OR contains(html, '附件') AS referenced, CASE WHEN regexp_matches(url, '(?i)logo|icon|copy|wx|qrcode') THEN 'decorative' ELSE 'body_image' END AS role FROM pages"),
     "P-13": projection("pages", "page_id", {"domain": (lambda: s.domain_of(c("url")), "regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '^www\\.', '')"), "summary": (lambda: F.left("html", F.lit(200)), "left(html, 200)")}),
-    "P-14": (_thresholds, "WITH g AS (SELECT source, count(*) AS n, source || '.org' AS domain FROM documents GROUP BY source UNION ALL VALUES ('a', 10, 'a.org'), ('b', 500, 'b.org'), ('c', 5000, 'c.org')) SELECT source, n, (CASE WHEN n < 20 THEN NULL WHEN source = 'src1' THEN 7 WHEN domain = 'src2.org' THEN 8 WHEN n < 100 THEN 5 WHEN n < 1000 THEN 10 ELSE 20 END)::INTEGER AS threshold, CASE WHEN source = 'src1' THEN 'map:src1' WHEN domain = 'src2.org' THEN 'map:src2.org' ELSE 'policy' END AS by, n >= 20 AS enabled FROM g"),
+    "P-14": (_thresholds, "WITH g AS (SELECT source, count(*) AS n, source || '.org' AS domain FROM documents GROUP BY source UNION ALL VALUES ('a', 10, 'a.org'), ('b', 500, 'b.org'), ('c', 5000, 'c.org')) SELECT source, n, (CASE WHEN n < 20 THEN -1 WHEN source = 'src1' THEN 7 WHEN domain = 'src2.org' THEN 8 WHEN n < 100 THEN 5 WHEN n < 1000 THEN 10 ELSE 20 END)::INTEGER AS threshold, CASE WHEN source = 'src1' THEN 'map:src1' WHEN domain = 'src2.org' THEN 'map:src2.org' ELSE 'policy' END AS by, n >= 20 AS enabled FROM g"),
     "P-15": (lambda sp, d: docs(sp, d).agg((F.count_if(c("doc_id").isNull()) / n_rows() > 0.05).alias("ids_missing"), (1 - F.count_distinct("doc_id") / n_rows() > 0.05).alias("ids_repeat"), (F.count_if(~F.contains("text", F.lit("\n"))) / n_rows() > 0.7).alias("single_line")), "SELECT count(*) FILTER (doc_id IS NULL) / count(*) > 0.05 AS ids_missing, 1 - count(DISTINCT doc_id) / count(*) > 0.05 AS ids_repeat, count(*) FILTER (NOT contains(text, chr(10))) / count(*) > 0.7 AS single_line FROM documents"),
     "P-16": (lambda sp, d: _cleaned(sp, d).agg(F.bool_and(F.length("after") <= F.length("text")).alias("no_growth"), (F.count_distinct("doc_id") == n_rows()).alias("ids_kept")), f"SELECT bool_and(length({_AFTER}) <= length(text)) AS no_growth, count(DISTINCT doc_id) = count(*) AS ids_kept FROM documents"),
     "P-17": (_llm, "SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'retry' WHEN quality * 0.5 + 0.3 < 0.6 THEN 'low_quality' WHEN toxic = 1 THEN 'topic_excluded' WHEN doc_id % 6 < 4 THEN 'manual_review' ELSE 'keep' END AS policy_status FROM labels JOIN documents USING (doc_id)"),
@@ -233,11 +233,11 @@ QUERIES: dict[str, Query] = {
     "J-12": (_language, None),
     "J-13": (lambda sp, d: dd.exact_dedup(docs(sp, d)).select("doc_id", F.sha2("text", 256).alias("sha")), "SELECT min(doc_id) AS doc_id, sha256(text) AS sha FROM documents GROUP BY text"),
     "J-15": (_rejections, f"SELECT doc_id, CASE WHEN length(text) NOT BETWEEN 50 AND 3000000 THEN 'text_length' WHEN {_LETTERS} / length(text) < 0.45 THEN 'alphanumeric' WHEN {_SPECIAL} / length(text) > 0.2 THEN 'special_characters' END AS first_failed FROM documents"),
-    "JN-01": (lambda sp, d: docs(sp, d, "source").join(read(sp, d, "labels").groupBy("doc_id").agg(F.max_by("quality", "toxic").alias("quality")), "doc_id", "left").select("doc_id", "quality"), "SELECT d.doc_id, l.quality FROM documents d LEFT JOIN (SELECT doc_id, arg_max(quality, toxic) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)"),
+    "JN-01": (lambda sp, d: docs(sp, d, "source").join(read(sp, d, "labels").groupBy("doc_id").agg(F.max_by("quality", "toxic").alias("quality")), "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality")), "SELECT d.doc_id, coalesce(l.quality, -1) AS quality FROM documents d LEFT JOIN (SELECT doc_id, arg_max(quality, toxic) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)"),
     "JN-02": (lambda sp, d: docs(sp, d).join(read(sp, d, "labels").select("doc_id", F.lit(1).alias("there")), "doc_id", "left").select("doc_id", F.when(c("there").isNull(), "missing_rebuilt_doc").otherwise("ok").alias("issue")), "SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing_rebuilt_doc' ELSE 'ok' END AS issue FROM documents d LEFT JOIN labels l USING (doc_id)"),
     "JN-03": (lambda sp, d: read(sp, d, "lineitem").join(read(sp, d, "lineitem").filter("l_quantity > 49").select("l_orderkey", "l_linenumber", F.lit("repair").alias("action")).distinct(), ["l_orderkey", "l_linenumber"], "left").select("l_orderkey", "l_linenumber", F.coalesce("action", F.lit("pass")).alias("action")), "SELECT l_orderkey, l_linenumber, CASE WHEN (l_orderkey, l_linenumber) IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_quantity > 49) THEN 'repair' ELSE 'pass' END AS action FROM lineitem"),
     "JN-04": (_manual_assets, "WITH a AS (SELECT page_id AS doc_id, url, 'name' || page_id AS name FROM pages), g AS (SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN url ELSE 'other' END AS mu, CASE WHEN doc_id % 12 = 0 THEN name ELSE 'none' END AS mn FROM a WHERE doc_id % 4 = 0) SELECT g.doc_id, a.url IS NOT NULL AS matched FROM g LEFT JOIN a ON a.doc_id = g.doc_id AND (mu = url OR mn = name)"),
-    "JN-05": (_aligned, "WITH b AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents), a AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents WHERE doc_id % 7 <> 0) SELECT b.k, b.occ, b.doc_id AS before, a.doc_id AS after FROM b LEFT JOIN a USING (k, occ)"),
+    "JN-05": (_aligned, "WITH b AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents), a AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents WHERE doc_id % 7 <> 0) SELECT b.k, b.occ, b.doc_id AS before, coalesce(a.doc_id, -1) AS after FROM b LEFT JOIN a USING (k, occ)"),
     "JN-06": (_survivors, "WITH h AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY regexp_replace(text, '[\\s\\x0B\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', '', 'g')) AS survivor FROM documents) SELECT * FROM h WHERE doc_id <> survivor"),
     "JN-07": (lambda sp, d: read(sp, d, "customer").join(F.broadcast(read(sp, d, "nation").limit(1000)), c("c_nationkey") == c("n_nationkey"), "left").groupBy("n_name").agg(n_rows().alias("n")), "SELECT n_name, count(*) AS n FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
     "JN-08": (lambda sp, d: docs(sp, d).join(read(sp, d, "labels").withColumnRenamed("doc_id", "ordinal"), c("doc_id") == c("ordinal"), "left").select("doc_id", c("ordinal").isNotNull().alias("audited")), "SELECT d.doc_id, l.doc_id IS NOT NULL AS audited FROM documents d LEFT JOIN labels l USING (doc_id)"),
