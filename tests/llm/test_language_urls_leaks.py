@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from siftline.llm import decontaminate as dc
 from siftline.llm import language_id as li
