@@ -112,8 +112,9 @@ class Codec:
         self.byte_ids = frozenset(i for i, k in enumerate(self.kinds) if k == _BYTE)
         self.lengths = [len(p) for p in self.pieces]
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}  # words that don't decode to themselves, if a model has any
         self._automaton = self._reversed_automaton()
 
     def _reversed_automaton(self):
@@ -199,8 +200,8 @@ class Codec:
             ids += self._split(word[start:])
         return ids
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids of a word (as native 32-bit integers) and the text that they decode to."""
+    def word(self, word: str) -> bytes:
+        """Ids of a word, as native 32-bit integers. What they decode to is compared with the word when it is new."""
         found = self.known.get(word)
         if found is not None:
             return found
@@ -208,10 +209,13 @@ class Codec:
         if found is None:
             parts = [word] if word.lstrip(SPACE).isalpha() else self.cuts(word)
             if len(parts) > 1:
-                found = b"".join([self.word(p)[0] for p in parts]), "".join([self.word(p)[1] for p in parts])
+                found = b"".join([self.word(p) for p in parts])
+                plain = "".join([self.odd.get(p) or p.replace(SPACE, " ") for p in parts])
             else:
                 ids = self._part(word)
-                found = array("i", ids).tobytes(), self._plain(ids)
+                found, plain = array("i", ids).tobytes(), self._plain(ids)
+            if plain != word.replace(SPACE, " "):
+                self.odd[word] = plain
         if len(word) <= LONGEST_REMEMBERED:
             if len(self.known) >= REMEMBERED:
                 self.older, self.known = self.known, {}
@@ -236,14 +240,19 @@ class Codec:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
-    def encode_parts(self, text: str | None) -> list[tuple[bytes, str]]:
+    def both(self, text: str | None) -> tuple[bytes, str]:
+        """Ids of a text, as native 32-bit integers, and the text that they decode to."""
         if not text:
-            return []
-        return list(map(self.word, self.words(SPACE + text.replace(" ", SPACE))))
+            return b"", ""
+        words = self.words(SPACE + text.replace(" ", SPACE))
+        ids = b"".join(map(self.word, words))
+        odd = self.odd
+        plain = "".join([odd.get(w) or w for w in words] if odd else words).replace(SPACE, " ")
+        return ids, plain.removeprefix(" ")
 
     def encode(self, text: str | None) -> list[int]:
         out = array("i")
-        out.frombytes(b"".join(x for x, _ in self.encode_parts(text)))
+        out.frombytes(self.both(text)[0])
         return out.tolist()
 
     def decode(self, ids) -> str:
@@ -283,12 +292,11 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text") -> DataFra
             offsets, numbers, plain, total, size, first = [0], [], [], 0, 0, 0
             for row in range(batch.num_rows):
                 value = values[row].as_py() or ""
-                parts = own.encode_parts(value)
-                joined = b"".join([x for x, _ in parts])
+                joined, decoded = own.both(value)
                 numbers.append(joined)
                 total += len(joined) // 4
                 offsets.append(total)
-                plain.append("".join([x for _, x in parts]).removeprefix(" "))
+                plain.append(decoded)
                 size += len(value)
                 if size > HANDED_ON or row + 1 == batch.num_rows:
                     ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.Array.from_buffers(pa.int32(), total, [None, pa.py_buffer(b"".join(numbers))]))
