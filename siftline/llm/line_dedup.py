@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ._common import table, written
 
-FAMILIES, WINDOW, MIN_CHARS = 2, 2, 60
+FAMILIES, WINDOW, MIN_CHARS = 3, 2, 60
 _LINE = r"[^\n.!?]*+(?:[\n.!?]\s*+)*+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
