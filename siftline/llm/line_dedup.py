@@ -1,13 +1,13 @@
 """Line deduplication with content-defined chunks of lines.
 
 A line is a stretch of text up to and with a line break or the end of a sentence (``.``, ``!``, ``?``) and the white space
-after it, so the lines of a text put together are the text. Rolling hashes over ``WINDOW`` neighbouring line hashes choose
-the boundaries: in each of ``FAMILIES`` independent families, a line begins a chunk if its bit of the rolling hash is zero,
-and a chunk runs to the first boundary at least two lines on (starts and ends of texts are boundaries too). Boundaries
-depend on the lines around them only, so a passage is cut alike wherever it stands. Chunks of at least ``min_chars``
+after it. A line of more than ``LONG`` characters is cut into several by its content: after each word at which a rolling
+hash over ``WINDOW`` neighbouring words has ``CUT_BITS`` zero bits, so a stretch without punctuation has lines too. The
+lines of a text put together are the text. Every line begins a chunk and ends one: the least run of two lines or more that
+has ``min_chars``, onwards from its first and backwards from its last line. Cuts and chunks depend on the words in them
+only, so a passage is cut alike wherever it stands, and all of its lines are in chunks. Chunks
 that occur in more than one document are removed from all but the one with the smallest id, after their bytes have been
-compared. A document of which more than ``max_removed`` would go is left whole (1.0: none is): it repeats as a
-document, which is for near-duplicate removal, and torn remains help nobody.
+compared. A document of which more than ``max_removed`` would go is left whole (1.0: none is).
 
 Native throughout, in four steps: (1) chunk hashes, one narrow row each; (2) an aggregate that combines before its
 shuffle finds repeated hashes, and a join (skew split by Spark) their places; (3) for repeated hashes only, the
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from ._common import table, written
 
-FAMILIES, WINDOW, MIN_CHARS = 3, 2, 60
+WINDOW, CUT_BITS, LONG, MIN_CHARS = 2, 3, 60, 60
 _LINE = r"[^\n.!?]*+(?:[\n.!?]\s*+)*+"
+_WORD = r"\S++\s*+|\s++"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -45,8 +46,19 @@ def _shuffle_files_go(spark):
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+def _cuts(words: Column) -> Column:
+    """Numbers of words before each cut of a line, with both ends."""
+    rolled = lambda i: F.xxhash64(*[_bare(F.get(words, i - 1 + k)) for k in range(WINDOW)])
+    inner = F.filter(F.sequence(F.lit(1), F.size(words) - 1), lambda i: rolled(i).bitwiseAND((1 << CUT_BITS) - 1) == 0)
+    return F.when(F.size(words) > 1, F.concat(F.array(F.lit(0)), inner, F.array(F.size(words)))).otherwise(F.array(F.lit(0), F.lit(1)))
+
+
 def lines(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)), lambda x: x != "")
+    whole = F.filter(F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)), lambda x: x != "")
+    words = F.transform(whole, lambda x: F.when(F.length(x) > LONG, F.regexp_extract_all(x, F.lit(_WORD), F.lit(0))).otherwise(F.array(x)))
+    cut = F.transform(words, lambda w: F.struct(w.alias("w"), _cuts(w).alias("c")))
+    piece = lambda x, c, j: F.array_join(F.slice(x["w"], c + 1, F.get(x["c"], j + 1) - c), "")
+    return F.flatten(F.transform(cut, lambda x: F.transform(F.slice(x["c"], 1, F.size(x["c"]) - 1), lambda c, j: piece(x, c, j))))
 
 
 def _bare(line: Column) -> Column:
@@ -69,21 +81,31 @@ def _length(se: Column) -> Column:
     return se.bitwiseAND((1 << 31) - 1).cast("int")
 
 
-def chunks(df: DataFrame, families: int = FAMILIES, min_chars: int = MIN_CHARS) -> DataFrame:
+def _least(n: Column, i: Column, step: int, min_chars: int) -> Column:
+    """Length of the least run of two lines or more with ``min_chars`` from line ``i`` (from 0) on or, with step -1, back; null
+    if there is none."""
+    total, out = F.get(n, i), None
+    for k in range(2, 6):
+        total = total + F.get(n, i + (k - 1) * step)
+        out = (F if out is None else out).when(total >= min_chars, k)
+    most = min_chars + 2  # lines have a character at least
+    near = F.slice(n, i + 1, F.lit(most)) if step > 0 else F.reverse(F.slice(n, F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most))))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"))
+    more = lambda a, x: F.when((a["n"] >= min_chars) & (a["k"] > 1), a).otherwise(F.struct((a["n"] + x).alias("n"), (a["k"] + 1).alias("k")))
+    return out.otherwise(F.aggregate(near, start, more, lambda a: F.when((a["n"] >= min_chars) & (a["k"] > 1), a["k"])))
+
+
+def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, d, t, se) of every chunk of ``df`` (columns d and text): hash, document, hash of its text, packed first line
     (from 1) and length."""
     rows = df.select("d", F.xxhash64("text").alias("t"), lines(F.col("text")).alias("u"))
-    rows = rows.select("d", "t", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n"))
-    rows = rows.withColumn("r", F.transform("hs", lambda h, i: F.xxhash64(h, *[F.get("hs", i + k) for k in range(1, WINDOW)])))
-    found = []
-    for f in range(families):
-        inner = F.filter(F.sequence(F.lit(2), F.size("r")), lambda i: F.shiftright(F.get("r", i - 1), f).bitwiseAND(1) == 0)
-        found.append(F.concat(F.array(F.lit(1)), inner, F.array(F.size("r") + 1)))
-    rows = rows.select("d", "t", "hs", "n", F.explode(F.when(F.size("r") > 1, F.array(*found))).alias("b"))
-    ends = F.transform("b", lambda s, j: F.struct(s.alias("s"), F.when(F.get("b", j + 1) >= s + 2, F.get("b", j + 1)).otherwise(F.get("b", j + 2)).alias("e")))
-    rows = rows.select("d", "t", "hs", "n", F.explode(F.filter(ends, lambda x: x["e"].isNotNull())).alias("x"))
-    long_enough = F.aggregate(F.slice("n", F.col("x.s"), F.col("x.e") - F.col("x.s")), F.lit(0), lambda a, n: a + n) >= min_chars
-    return rows.filter(long_enough).select(F.xxhash64(F.slice("hs", F.col("x.s"), F.col("x.e") - F.col("x.s"))).alias("h"), "d", "t", _packed(F.col("x.s"), F.col("x.e") - F.col("x.s")).alias("se"))
+    rows = rows.select("d", "t", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n")).filter(F.size("hs") > 1)
+    places = F.sequence(F.lit(0), F.size("n") - 1)
+    onwards = F.transform(places, lambda i: _packed(i + 1, _least(F.col("n"), i, 1, min_chars)))
+    back = F.transform(F.transform(places, lambda i: F.struct(i.alias("i"), _least(F.col("n"), i, -1, min_chars).alias("k"))), lambda x: _packed(x["i"] - x["k"] + 2, x["k"]))
+    rows = rows.select("d", "t", "hs", F.array_distinct(F.array_compact(F.concat(onwards, back))).alias("se"))
+    found = F.transform("se", lambda se: F.struct(F.xxhash64(F.slice("hs", _start(se), _length(se))).alias("h"), se.alias("se")))
+    return rows.select("d", "t", F.explode(found).alias("x")).select("x.h", "d", "t", "x.se")
 
 
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -94,9 +116,9 @@ def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     return rows.select("h", "d", "t", "se", F.array_join(F.transform(F.slice("u", _start(F.col("se")), _length(F.col("se"))), _bare), "\n").alias("txt"))
 
 
-def repeated_chunks(docs: DataFrame, families: int = FAMILIES, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_chunks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, d, t, se) of all chunks to remove, bytes compared. ``docs``: d (no nulls) and text."""
-    all_chunks = written(chunks(docs, families, min_chars), "chunks")
+    all_chunks = written(chunks(docs, min_chars), "chunks")
     repeated = all_chunks.groupBy("h").agg(F.min("d").alias("o"), F.max("d").alias("m")).filter("o < m").select("h", "o")
     places = written(all_chunks.join(repeated, "h").select("h", "d", "t", "se", "o"), "places")
     texts = _texts(docs, places)
@@ -110,7 +132,7 @@ def repeated_chunks(docs: DataFrame, families: int = FAMILIES, min_chars: int =
     return agreed.join(unequal, "h", "left_anti").union(own.join(firsts, ["h", "txt"]).filter("d > o").select("h", "d", "t", "se"))
 
 
-def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", families: int = FAMILIES, min_chars: int = MIN_CHARS, max_removed: float = 1.0) -> DataFrame:
+def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, max_removed: float = 1.0) -> DataFrame:
     """(row struct, text, n_lines, n_removed, removed_chars, spared): ``row`` holds the input row, ``text`` what is left.
 
     ``spared``: more than ``max_removed`` of the characters would have gone, and none were. n_lines is null where no chunk
@@ -119,7 +141,7 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", famili
     none = F.lit(-(1 << 63)).cast("long")
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), none).alias("d"), F.col(text).alias("text"))
     with _shuffle_files_go(df.sparkSession):
-        gone = repeated_chunks(packed.select("d", "text"), families, min_chars)
+        gone = repeated_chunks(packed.select("d", "text"), min_chars)
         spans = written(gone.groupBy("d", "t").agg(F.collect_set("se").alias("x")), "spans")
     rows = packed.withColumn("t", F.xxhash64("text")).join(spans, ["d", "t"], "left")
     rows = rows.withColumn("u", F.when(F.col("x").isNotNull(), lines(F.col("text"))))

@@ -70,3 +70,30 @@ def test_one_hash_for_different_texts_is_settled_by_bytes(spark, monkeypatch):
 def test_columns_with_clashing_names(spark):
     df = spark.createDataFrame([(1, "a", "b", 2)], "doc_id long, text string, t string, u int")
     assert ld.line_dedup(df).select("row.*").first() == df.first()
+
+
+def cut_into(passage, n):
+    """``passage`` (words) as ``n`` lines of about equal length."""
+    return " ".join(" ".join(passage[len(passage) * k // n : len(passage) * (k + 1) // n]) + "." for k in range(n))
+
+
+def test_passages_of_51_words_go_however_few_their_lines(spark):
+    random.seed(8)
+    word = lambda: "".join(random.choices("abcdefghijk", k=random.randint(2, 7)))
+    words = lambda n: [word() for _ in range(n)]
+    rows, kinds = [], {}
+    for n in (0, 1, 2, 3, 4, 5, 25):  # 0: in the middle of a line
+        for _ in range(40):
+            passage = words(51)
+            text = cut_into(passage, n) if n else " ".join(passage)
+            for j in range(2):
+                a, b = (" ".join(words(30)), " ".join(words(30)) + ".") if n == 0 else (body(4), body(4))
+                if j:
+                    kinds[len(rows)] = (n, len(text))
+                rows.append((len(rows), f"{a} {text} {b}"))
+    out = {r.row.doc_id: r for r in run(spark, rows).values()}
+    share = {n: [out[d].removed_chars / size for d, (k, size) in kinds.items() if k == n] for n, _ in kinds.values()}
+    print({n: (sum(x == 0 for x in s), round(sum(s) / len(s), 3)) for n, s in share.items()})
+    assert all(min(s) > 0 for n, s in share.items() if n > 1) and all(sum(x == 0 for x in s) <= 2 for s in share.values())
+    assert all(sum(s) / len(s) > (0.9 if n else 0.6) for n, s in share.items())
+    assert all(out[d].n_removed == 0 for d in range(0, len(rows), 2))
