@@ -116,9 +116,10 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
                     continue  # rows that repeat id and text
                 seen.add(sig)
                 hashes = shingle_hashes(batch.column(5)[k].as_py(), words)
-                name = fingerprint_of(hashes)
-                member = Member(name)
-                sets[member] = (np.unique(np.ascontiguousarray(hashes).view(np.uint64).reshape(-1)),)
+                distinct = np.unique(np.ascontiguousarray(hashes).view(np.uint64).reshape(-1))
+                # the fingerprint of the set that is compared: repeated lines must not pull it away
+                member = Member(fingerprint_of(distinct.view(np.uint8).reshape(-1, 8)))
+                sets[member] = (distinct,)
                 names[member] = sig
                 (left if mine == own[1] else right).append(member)
             yield frame(found)

@@ -101,3 +101,15 @@ def test_components_of_a_chain_and_a_star(spark):
     out = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert set(out.values()) == {0, 1000} and out[40] == 0 and out[1059] == 1000
     assert components.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_texts_with_a_repeated_line_are_linked(spark):
+    random.seed(12)
+    rows = []
+    for k in range(60):
+        base = [f"v{random.randrange(10**6)}" for _ in range(1000)]
+        tail = [f"t{random.randrange(10**6)}" for _ in range(8)]
+        rows += [(2 * k, " ".join(base + tail)), (2 * k + 1, " ".join(base + tail * 40))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.d: r.root for r in near_dups.near_duplicate_groups(df).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
