@@ -53,8 +53,8 @@ def min_hash_bands(hashes, factors) -> list[int]:
 
 
 def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """(d, sig, root): for every distinct pair of id (null: the smallest long) and text (as its SHA-1) the smallest id of its
-    group. A row is the one that stays if root equals d and no smaller sig of that id has the same root.
+    """(d, sig, root, g): for every distinct pair of id (null: the smallest long) and text (as its SHA-1) the smallest id of its
+    group and the group's name. A row is the one that stays if root equals d and no smaller sig of that id has the same g.
     """
     bounded_batches(df.sparkSession)
     rows = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("sig", F.sha1("text"))
@@ -132,8 +132,8 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("sig"), F.col("root").alias("g"))
     named = members.select("sig", "low").join(groups, "sig", "left").withColumn("g", F.coalesce("g", "sig"))
     lows = named.groupBy("g").agg(F.min("low").alias("root"))
-    roots = written(named.join(lows, "g").select("sig", "root"), "roots")
-    return sketched.select("d", "sig").distinct().join(roots, "sig").select("d", "sig", "root")
+    roots = written(named.join(lows, "g").select("sig", "root", "g"), "roots")
+    return sketched.select("d", "sig").distinct().join(roots, "sig").select("d", "sig", "root", "g")
 
 
 class Member(int):
@@ -156,7 +156,7 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     none = F.lit(-(1 << 63)).cast("long")
     groups = written(near_duplicate_groups(df, doc_id, text, **options), "groups")
     # of several texts that share the smallest id of their group, the least SHA-1 stays
-    stay = groups.filter("d = root").groupBy("d", "root").agg(F.min("sig").alias("sig")).select("d", "sig")
+    stay = groups.filter("d = root").groupBy("g").agg(F.min(F.struct("d", "sig")).alias("x")).select("x.d", "x.sig")
     gone = groups.join(stay, ["d", "sig"], "left_anti").select("d", "sig")
     rows = packed(df).withColumns({"d": F.coalesce(F.col(f"row.{doc_id}").cast("long"), none), "sig": F.sha1(F.coalesce(F.col(f"row.{text}"), F.lit("")))})
     kept = rows.join(gone, ["d", "sig"], "left_anti")

@@ -113,3 +113,10 @@ def test_texts_with_a_repeated_line_are_linked(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.d: r.root for r in near_dups.near_duplicate_groups(df).collect()}
     assert got == {d: d - d % 2 for d, _ in rows}
+
+
+def test_unlike_texts_with_a_null_or_repeated_id_stay(spark):
+    texts = [" ".join(f"{x}{i}" for i in range(40)) for x in "abcdefgh"]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:]] + [(None, texts[0] + " end"), (8, texts[5])]
+    out = near_dups.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 8 and {r.text.split()[0] for r in out} == {t.split()[0] for t in texts}
