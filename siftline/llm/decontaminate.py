@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Texts and benchmark items become word sequences (lower case, letters and digits). A spaced seed is a fixed mask over
-``SPAN`` neighbouring words that ignores some of them, so a hash of the others survives substitutions at the ignored
+neighbouring words that ignores some of them, so a hash of the others survives substitutions at the ignored
 places. Seed hashes of every place of every document are joined with those of the benchmark; around each hit the
 document and the item are laid over each other word by word, and the longest stretch in which at least ``identity`` of
 the words agree is measured. A document is contaminated by an item if that stretch has ``min_overlap`` words, or all of
@@ -12,13 +12,15 @@ shipped to the workers and probed in a single pass over the documents without a
 (written out in between), never a larger broadcast.
 
 Edge cases: null and empty texts are clean; null items and items of under ``MIN_WORDS`` words are never matched; an empty
-benchmark leaves all clean; repeated items count once each by id; items shorter than a mask are hashed whole; input
-columns named like an output column are replaced.
+benchmark leaves all clean; repeated items count once each by id; items of fewer words than a match needs have
+masks of their own, one of which every allowed choice of substitutions leaves alone; input columns
+named like an output column are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,9 +29,9 @@ from pyspark.sql import types as T
 
 from ._common import bounded_batches, column_at, table, written
 
-#: Masks: 1 marks a word that counts.
-MASKS = ("110110101011", "101011011011", "111000111011")
-SPAN = 12
+#: Masks: 1 marks a word that counts. At MIN_OVERLAP and IDENTITY they miss nothing: every stretch of 13 to 25 words with a
+#: fifth of them substituted anywhere holds the counting words of one mask, and a longer one holds such a stretch.
+MASKS = ("1111011", "110100010011", "1010001111", "1001100000111")
 MIN_WORDS, MIN_OVERLAP, IDENTITY = 5, 13, 0.8
 BLOCK_BYTES = 16 << 20
 _WORDS = re.compile(r"\w+").findall
@@ -39,6 +41,16 @@ def tokens(text: str | None) -> list[str]:
     return _WORDS((text or "").lower())
 
 
+def short_masks(n: int, identity: float = IDENTITY) -> list[list[int]]:
+    """Masks over all ``n`` words of an item: with m substitutions allowed, the words are cut into m + 2 parts, any two of which
+    count, and at least two parts have no substitution."""
+    m = int(n * (1 - identity) + 1e-9)
+    parts = min(n, m + 2)
+    ends = [n * k // parts for k in range(parts + 1)]
+    keep = parts - m
+    return [[i for k in chosen for i in range(ends[k], ends[k + 1])] for chosen in combinations(range(parts), keep)]
+
+
 class Index:
     """Seeds of a block of items."""
 
@@ -52,16 +64,17 @@ class Index:
         vocabulary = sorted({x for _, w in self.items for x in w})
         self.number = {x: i + 1 for i, x in enumerate(vocabulary)}
         self.code = random.integers(1, 1 << 63, len(vocabulary) + 1, np.int64).astype(np.uint64)
-        self.factor = random.integers(0, 1 << 62, SPAN, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        masks = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
-        shorter = sorted({len(w) for _, w in self.items if len(w) < SPAN})
-        self.masks = [(SPAN, m) for m in masks] + [(n, list(range(n))) for n in shorter]
+        shorter = sorted({len(w) for _, w in self.items if len(w) < min_overlap})
+        #: (words of the items, or None: min_overlap and more; span; places that count)
+        self.masks = [(None, len(m), [i for i, c in enumerate(m) if c == "1"]) for m in MASKS]
+        self.masks += [(n, n, m) for n in shorter for m in short_masks(n, identity)]
+        self.factor = random.integers(0, 1 << 62, max(span for _, span, _ in self.masks), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         self.ids = [np.fromiter((self.number[x] for x in w), np.int64, len(w)) for _, w in self.items]
         self.tables = []
-        for span, mask in self.masks:
+        for size, span, mask in self.masks:
             found, own, place = [], [], []
             for k, ids in enumerate(self.ids):
-                if (span == SPAN) != (len(ids) >= SPAN) or (span < SPAN and len(ids) != span):
+                if len(ids) != size if size else len(ids) < min_overlap:
                     continue
                 h = self.seeds(ids, span, mask)
                 found.append(h)
@@ -97,7 +110,7 @@ class Index:
         ids = np.fromiter([get(x, 0) for x in words], np.int64, len(words))
         best: dict[int, int] = {}
         seen: set[tuple[int, int]] = set()
-        for (span, mask), kept in zip(self.masks, self.tables):
+        for (_, span, mask), kept in zip(self.masks, self.tables):
             if kept is None or len(ids) < span:
                 continue
             hashes, own, place, bits = kept

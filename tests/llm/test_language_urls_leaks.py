@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 
@@ -80,3 +81,26 @@ def test_leaks_with_substitutions(spark):
         assert not any(out[d].contaminated for d, _, _ in rows if d >= 100)
     assert dc.decontaminate(df, bench.limit(0)).filter("contaminated").count() == 0
     assert dc.decontaminate(df.limit(0), bench).collect() == []
+
+
+def test_every_allowed_choice_of_substitutions_is_hit():
+    for n in range(5, 26):
+        allowed = int(0.2 * n + 1e-9)
+        masks = [[i for i, c in enumerate(m) if c == "1"] for m in dc.MASKS] if n >= dc.MIN_OVERLAP else dc.short_masks(n)
+        placed = [sum(1 << (p + i) for i in m) for m in masks for p in range(n - (m[-1] if n >= dc.MIN_OVERLAP else n - 1))]
+        for changed in combinations(range(n), allowed):
+            bits = sum(1 << i for i in changed)
+            assert any(not bits & m for m in placed), (n, changed)
+
+
+def test_random_overlaps_at_the_limit_are_found():
+    random.seed(9)
+    words = [f"w{i}" for i in range(5000)]
+    for n, substituted in [(5, 1), (11, 2), (12, 1), (12, 2), (13, 1), (13, 2), (16, 3), (20, 4), (40, 8)]:
+        items = [(i, " ".join(random.choices(words, k=n))) for i in range(100)]
+        index = dc.Index(items)
+        for i, text in items:
+            w = text.split()
+            for k in random.sample(range(n), substituted):
+                w[k] = "changed"
+            assert (i, n) in index.overlaps(" ".join(["before"] * 9 + w + ["after"] * 9)), (n, substituted)
