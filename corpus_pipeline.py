@@ -18,9 +18,6 @@ from siftline.llm.near_dups import drop_near_duplicates
 from siftline.llm.quality import quality_rules
 from siftline.llm.sentencepiece_bpe import default_model, encode_decode
 
-#: A document of which more repeats is a document-level copy: line dedup leaves it whole for the stage after it.
-MAX_REPEATED = 0.6
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -29,8 +26,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the chunks of lines that an earlier document has; n_chars follows the text."""
-    out = line_dedup(docs, max_removed=MAX_REPEATED)
+    """Documents without the chunks of lines that an earlier one has; n_chars follows the text.
+
+    Near copies of whole documents go first, compared with the document that stays: cut up, they would no longer be alike.
+    From all others every repeated chunk goes; a document of which nothing is left goes too.
+    """
+    out = line_dedup(written(drop_near_duplicates(docs), "whole")).filter("n_removed = 0 OR text <> ''")
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*[(new[c].cast(kind) if new.get(c) is not None else F.col(f"row.`{c}`")).alias(c) for c, kind in docs.dtypes])
 

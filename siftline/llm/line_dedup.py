@@ -99,8 +99,8 @@ def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, d, t, se) of every chunk of ``df`` (columns d and text): hash, document, hash of its text, packed first line
     (from 1) and length."""
     rows = df.select("d", F.xxhash64("text").alias("t"), lines(F.col("text")).alias("u"))
-    rows = rows.select("d", "t", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n")).filter(F.size("hs") > 1)
-    places = F.sequence(F.lit(0), F.size("n") - 1)
+    rows = rows.select("d", "t", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n"))
+    places = F.when(F.size("n") > 1, F.sequence(F.lit(0), F.size("n") - 1))  # not a filter, which would cut lines twice
     onwards = F.transform(places, lambda i: _packed(i + 1, _least(F.col("n"), i, 1, min_chars)))
     back = F.transform(F.transform(places, lambda i: F.struct(i.alias("i"), _least(F.col("n"), i, -1, min_chars).alias("k"))), lambda x: _packed(x["i"] - x["k"] + 2, x["k"]))
     rows = rows.select("d", "t", "hs", F.array_distinct(F.array_compact(F.concat(onwards, back))).alias("se"))

@@ -40,3 +40,14 @@ def test_near_copies_and_leaks_go(spark):
     for _, stage in cp.STAGES:
         docs = written(stage(spark, docs, SF), "test")
     assert sorted(r.doc_id for r in docs.collect()) == [1, 5]
+
+
+def test_passages_go_from_documents_that_mostly_repeat(spark):
+    part = lambda c, n: "".join(" ".join(f"{c}{i}x{k}" for k in range(8)) + ". " for i in range(n))
+    p, q, x = part("p", 10), part("q", 10), part("x", 10)
+    rows = [(0, p + part("a", 20)), (1, p + x), (2, p + x), (3, q + part("b", 20)), (4, p + part("c", 4)), (5, p + q)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    for name, stage in cp.STAGES[1:3]:
+        docs = written(stage(spark, docs, SF), "test")
+    out = {r.doc_id: r.text for r in docs.collect()}
+    assert out == {0: rows[0][1], 1: x, 3: rows[3][1], 4: part("c", 4)}
