@@ -60,6 +60,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often, also inside lambdas, the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def packed(df: DataFrame) -> DataFrame:
     """``df`` as a single column ``row``, so that no column of it can clash with a helper column."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -1,19 +1,21 @@
 """Line deduplication with content-defined chunks of lines.
 
-A line is a stretch of text up to and with a line break or the end of a sentence (``.``, ``!``, ``?``) and the white space
-after it. A line of more than ``LONG`` characters is cut into several by its content: after each word at which a rolling
-hash over ``WINDOW`` neighbouring words has ``CUT_BITS`` zero bits, so a stretch without punctuation has lines too. The
-lines of a text put together are the text. Every line begins a chunk and ends one: the least run of two lines or more that
-has ``min_chars``, onwards from its first and backwards from its last line. Cuts and chunks depend on the words in them
-only, so a passage is cut alike wherever it stands, and all of its lines are in chunks. Chunks
-that occur in more than one document are removed from all but the one with the smallest id, after their bytes have been
-compared. A document of which more than ``max_removed`` would go is left whole (1.0: none is).
+A line is a stretch of text up to and with a line break or the end of a sentence and the white space after it; sentences are
+also cut between two words whose letters at the cut are in ``_BEFORE`` and ``_AFTER`` (one place in seven or so; or after a
+full-width mark), so a stretch without punctuation has lines too, cut alike wherever it stands. The lines of a text put together are the text.
+
+Boundaries are chosen by rolling over the lines' hashes: a line is one if its hash isn't above that of a neighbour, so of
+two neighbouring lines one is a boundary at least, and whether a line inside a passage is one depends on the passage only. A
+chunk goes from a boundary up to and with the next one that gives it ``min_chars`` characters, or back to the last such; it
+has two lines or more, and chunks overlap. Any passage of four such lines or more that has the characters holds a chunk wherever
+it stands, and all of it but a line at either end is covered. Chunks that occur in more than one document are removed from all but the one with the smallest id,
+after the bytes have been compared (the stretch of the text itself, without the white space at its end).
 
 Native throughout, in four steps: (1) chunk hashes, one narrow row each; (2) an aggregate that combines before its
-shuffle finds repeated hashes, and a join (skew split by Spark) their places; (3) for repeated hashes only, the
-least and greatest of their chunks' texts are compared, which shows whether all bytes agree; a hash under which texts
-differ is settled text by text; (4) a join by id removes lines. Steps are written to the shared folder, and shuffle files
-go when a step is written.
+shuffle finds repeated hashes, and a join (skew split by Spark) their places, which are listed by document; (3) documents
+with their lists are written once; for repeated hashes only the least and greatest of their chunks' texts are compared, which
+shows whether all bytes agree, and a hash under which texts differ is settled text by text; (4) lines go, in one projection.
+No step carries a document's lines into rows of its chunks, so work and memory grow with the text, not with its square.
 
 Edge cases: null and empty texts stay as they are; rows with one id (or a null one) count as one document, and within a
 document nothing is removed; rows that share an id but not the text are told apart by a hash of the text; an empty
@@ -27,11 +29,20 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import table, written
+from ._common import let, table, written
+
+MIN_CHARS = 60
+
+
+def _letters(latin: str, first: int) -> str:
+    """A class of ``latin`` and 12 of every 32 characters of other scripts; Latin letters fail it at the first test."""
+    return rf"[{latin}[[^\x00-ÿ]&&[{''.join(f'\\u{c:04x}-\\u{c + 11:04x}' for c in range(0x100 + first, 0xE00, 32))}]]]"
 
-WINDOW, CUT_BITS, LONG, MIN_CHARS = 2, 3, 60, 60
-_LINE = r"[^\n.!?]*+(?:[\n.!?]\s*+)*+"
-_WORD = r"\S++\s*+|\s++"
+
+#: Letters that end the word before a cut, and that begin the word after it: about three in eight of each.
+_BEFORE, _AFTER = _letters("acdgilmpruy,;:0-3à-ê", 0), _letters("acegkmpruwA-J4-7à-ê", 16)
+_LINE = rf"[^\n.!?]+?(?: (?<={_BEFORE} )(?={_AFTER})|[。！？；，]\s*+)|[^\n.!?]*+(?:[\n.!?]\s*+)*+"
+_SPACE = " \n\t\r\f\v"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -46,27 +57,8 @@ def _shuffle_files_go(spark):
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
-def _cuts(words: Column) -> Column:
-    """Numbers of words before each cut of a line, with both ends."""
-    rolled = lambda i: F.xxhash64(*[_bare(F.get(words, i - 1 + k)) for k in range(WINDOW)])
-    inner = F.filter(F.sequence(F.lit(1), F.size(words) - 1), lambda i: rolled(i).bitwiseAND((1 << CUT_BITS) - 1) == 0)
-    return F.when(F.size(words) > 1, F.concat(F.array(F.lit(0)), inner, F.array(F.size(words)))).otherwise(F.array(F.lit(0), F.lit(1)))
-
-
 def lines(text: Column) -> Column:
-    whole = F.filter(F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)), lambda x: x != "")
-    words = F.transform(whole, lambda x: F.when(F.length(x) > LONG, F.regexp_extract_all(x, F.lit(_WORD), F.lit(0))).otherwise(F.array(x)))
-    cut = F.transform(words, lambda w: F.struct(w.alias("w"), _cuts(w).alias("c")))
-    piece = lambda x, c, j: F.array_join(F.slice(x["w"], c + 1, F.get(x["c"], j + 1) - c), "")
-    return F.flatten(F.transform(cut, lambda x: F.transform(F.slice(x["c"], 1, F.size(x["c"]) - 1), lambda c, j: piece(x, c, j))))
-
-
-def _bare(line: Column) -> Column:
-    return F.btrim(line, F.lit(" \n\t\r\f\v"))
-
-
-def _hashes(units: Column) -> Column:
-    return F.transform(units, lambda u: F.xxhash64(_bare(u)))
+    return F.filter(F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)), lambda x: x != "")
 
 
 def _packed(start: Column, length: Column) -> Column:
@@ -81,79 +73,116 @@ def _length(se: Column) -> Column:
     return se.bitwiseAND((1 << 31) - 1).cast("int")
 
 
-def _least(n: Column, i: Column, step: int, min_chars: int) -> Column:
-    """Length of the least run of two lines or more with ``min_chars`` from line ``i`` (from 0) on or, with step -1, back; null
-    if there is none."""
-    total, out = F.get(n, i), None
-    for k in range(2, 6):
-        total = total + F.get(n, i + (k - 1) * step)
-        out = (F if out is None else out).when(total >= min_chars, k)
-    most = min_chars + 2  # lines have a character at least
-    near = F.slice(n, i + 1, F.lit(most)) if step > 0 else F.reverse(F.slice(n, F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most))))
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"))
-    more = lambda a, x: F.when((a["n"] >= min_chars) & (a["k"] > 1), a).otherwise(F.struct((a["n"] + x).alias("n"), (a["k"] + 1).alias("k")))
-    return out.otherwise(F.aggregate(near, start, more, lambda a: F.when((a["n"] >= min_chars) & (a["k"] > 1), a["k"])))
+def _stretch(u: Column, se: Column) -> Column:
+    """The text of a chunk: its lines, without the white space at the end."""
+    return F.rtrim(F.array_join(F.slice(u, _start(se), _length(se)), ""), F.lit(_SPACE))
+
+
+def _boundary(hashes: Column, i: Column) -> Column:
+    own, none = F.get(hashes, i), (1 << 63) - 1
+    return (own <= F.coalesce(F.get(hashes, i - 1), F.lit(none))) | (own <= F.coalesce(F.get(hashes, i + 1), F.lit(none)))
+
+
+def boundaries(hashes: Column) -> Column:
+    """Numbers (from 0) of the lines whose hash isn't above that of a neighbour."""
+    return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: _boundary(hashes, i))
+
+
+def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int = 4) -> Column:
+    """Packed first line (from 1) and number of lines of each chunk, none where the text ends before ``min_chars``.
+
+    ``n``: the lines' lengths. Chunks of more than ``near`` boundaries are rare; their ends are looked for line by line.
+    """
+
+    def further(j: Column, chars: Column, way: int) -> Column:
+        # lines have a character and every second one is a boundary at least, so 2 * min_chars more lines do
+        start = F.struct(chars.alias("n"), F.lit(None).cast("int").alias("j"))
+        more = lambda a, x: F.when(a["j"].isNotNull(), a).otherwise(
+            F.struct((a["n"] + F.get(n, x)).alias("n"), F.when((a["n"] + F.get(n, x) >= min_chars) & _boundary(hashes, x), x).alias("j"))
+        )
+        if way > 0:
+            return F.when(j + 1 < F.size(n), F.aggregate(F.sequence(j + 1, F.least(j + 2 * min_chars, F.size(n) - 1)), start, more, lambda a: a["j"]))
+        return F.when(j > 0, F.aggregate(F.sequence(j - 1, F.greatest(j - 2 * min_chars, F.lit(0)), F.lit(-1)), start, more, lambda a: a["j"]))
+
+    def end(i: Column, k: Column, way: int) -> Column:
+        """The boundary, onwards or back from ``i`` (number ``k`` of ``cuts``), that gives a chunk enough characters."""
+        out, chars, before = F, F.get(n, i), i
+        for step in range(1, near + 1):
+            j = F.get(cuts, k + step * way)
+            chars = chars + F.get(n, j) + F.when(F.abs(j - before) == 2, F.get(n, j - way)).otherwise(0)  # boundaries are one line apart at most
+            out = out.when(chars >= min_chars, j)
+            before = j
+        return out.when(before.isNotNull(), further(before, chars, way))
+
+    onwards = F.filter(F.transform(cuts, lambda i, k: F.struct(i.alias("i"), end(i, k, 1).alias("j"))), lambda x: x["j"].isNotNull())
+    back = F.filter(F.transform(cuts, lambda j, k: F.struct(end(j, k, -1).alias("i"), j.alias("j"))), lambda x: x["i"].isNotNull())
+    return F.array_distinct(F.transform(F.concat(onwards, back), lambda x: _packed(x["i"] + 1, x["j"] - x["i"] + 1)))
 
 
 def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, d, t, se) of every chunk of ``df`` (columns d and text): hash, document, hash of its text, packed first line
     (from 1) and length."""
-    rows = df.select("d", F.xxhash64("text").alias("t"), lines(F.col("text")).alias("u"))
-    rows = rows.select("d", "t", _hashes(F.col("u")).alias("hs"), F.transform("u", lambda u: F.length(u)).alias("n"))
-    places = F.when(F.size("n") > 1, F.sequence(F.lit(0), F.size("n") - 1))  # not a filter, which would cut lines twice
-    onwards = F.transform(places, lambda i: _packed(i + 1, _least(F.col("n"), i, 1, min_chars)))
-    back = F.transform(F.transform(places, lambda i: F.struct(i.alias("i"), _least(F.col("n"), i, -1, min_chars).alias("k"))), lambda x: _packed(x["i"] - x["k"] + 2, x["k"]))
-    rows = rows.select("d", "t", "hs", F.array_distinct(F.array_compact(F.concat(onwards, back))).alias("se"))
-    found = F.transform("se", lambda se: F.struct(F.xxhash64(F.slice("hs", _start(se), _length(se))).alias("h"), se.alias("se")))
-    return rows.select("d", "t", F.explode(found).alias("x")).select("x.h", "d", "t", "x.se")
-
-
-def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(h, d, t, se, txt): the chunks' own texts."""
-    lists = places.groupBy("d", "t").agg(F.collect_list(F.struct("h", "se")).alias("x"))
-    rows = docs.withColumn("t", F.xxhash64("text")).join(lists, ["d", "t"]).select("d", "t", lines(F.col("text")).alias("u"), "x")
-    rows = rows.select("d", "t", "u", F.explode("x").alias("x")).select("d", "t", "u", "x.h", "x.se")
-    return rows.select("h", "d", "t", "se", F.array_join(F.transform(F.slice("u", _start(F.col("se")), _length(F.col("se"))), _bare), "\n").alias("txt"))
-
-
-def repeated_chunks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h, d, t, se) of all chunks to remove, bytes compared. ``docs``: d (no nulls) and text."""
+
+    def found(u: Column) -> Column:
+        hashes = F.transform(u, lambda x: F.xxhash64(F.rtrim(x, F.lit(_SPACE))))
+        lengths = F.transform(u, lambda x: F.length(x))
+        spans = let(hashes, lambda hs: let(lengths, lambda n: let(boundaries(hs), lambda cuts: _spans(n, hs, cuts, min_chars))))
+        return F.transform(spans, lambda se: F.struct(F.xxhash64(_stretch(u, se)).alias("h"), se.alias("se")))
+
+    rows = df.select("d", "text").filter(F.length("text") >= min_chars)
+    own = let(lines(F.col("text")), lambda u: F.when(F.size(u) > 1, found(u)))
+    return rows.select("d", F.xxhash64("text").alias("t"), F.explode(own).alias("x")).select("x.h", "d", "t", "x.se")
+
+
+def repeated_places(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(d, t, x) with x an array of (h, se, later) per document that holds repeated chunks; ``later``: an earlier document
+    has the chunk."""
     all_chunks = written(chunks(docs, min_chars), "chunks")
     repeated = all_chunks.groupBy("h").agg(F.min("d").alias("o"), F.max("d").alias("m")).filter("o < m").select("h", "o")
-    places = written(all_chunks.join(repeated, "h").select("h", "d", "t", "se", "o"), "places")
-    texts = _texts(docs, places)
-    unequal = written(texts.groupBy("h").agg(F.min("txt").alias("a"), F.max("txt").alias("b")).filter("a <> b").select("h"), "unequal")
-    agreed = places.filter("d > o").select("h", "d", "t", "se")
-    if unequal.isEmpty():
-        return agreed
-    # different texts under one hash: settle each text by itself
-    own = written(texts.join(unequal, "h", "left_semi"), "settled")
-    firsts = own.groupBy("h", "txt").agg(F.min("d").alias("o"))
-    return agreed.join(unequal, "h", "left_anti").union(own.join(firsts, ["h", "txt"]).filter("d > o").select("h", "d", "t", "se"))
-
-
-def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, max_removed: float = 1.0) -> DataFrame:
-    """(row struct, text, n_lines, n_removed, removed_chars, spared): ``row`` holds the input row, ``text`` what is left.
-
-    ``spared``: more than ``max_removed`` of the characters would have gone, and none were. n_lines is null where no chunk
-    of the text repeats.
+    places = all_chunks.join(repeated, "h").select("d", "t", F.struct("h", "se", (F.col("d") > F.col("o")).alias("later")).alias("p"))
+    return places.groupBy("d", "t").agg(F.collect_list("p").alias("x"))
+
+
+def _texts(listed: DataFrame, text: Column) -> DataFrame:
+    """(h, d, t, se, txt): the repeated chunks' own texts."""
+    own = let(lines(text), lambda u: F.transform("x", lambda p: F.struct(p["h"].alias("h"), p["se"].alias("se"), _stretch(u, p["se"]).alias("txt"))))
+    return listed.filter("x IS NOT NULL").select("d", "t", F.explode(own).alias("p")).select("p.h", "d", "t", "p.se", "p.txt")
+
+
+def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """(row struct, text, n_lines, n_removed, removed_chars): ``row`` holds the input row, ``text`` what is left.
+
+    n_lines is null where no chunk of the text repeats.
     """
     none = F.lit(-(1 << 63)).cast("long")
-    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), none).alias("d"), F.col(text).alias("text"))
+    own = F.col(f"row.`{text}`")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), none).alias("d"), F.xxhash64(F.col(text)).alias("t"))
     with _shuffle_files_go(df.sparkSession):
-        gone = repeated_chunks(packed.select("d", "text"), min_chars)
-        spans = written(gone.groupBy("d", "t").agg(F.collect_set("se").alias("x")), "spans")
-    rows = packed.withColumn("t", F.xxhash64("text")).join(spans, ["d", "t"], "left")
-    rows = rows.withColumn("u", F.when(F.col("x").isNotNull(), lines(F.col("text"))))
-    covered = F.flatten(F.transform("x", lambda se: F.sequence(_start(se), _start(se) + _length(se) - 1)))
-    rows = rows.withColumn("kept", F.when(F.size("u") > 0, F.array_except(F.sequence(F.lit(1), F.size("u")), covered)))
-    rows = rows.withColumn("left", F.when(F.col("kept").isNotNull(), F.array_join(F.transform("kept", lambda i: F.get("u", i - 1)), "")))
-    chars = F.length("text") - F.length("left")
-    rows = rows.withColumn("spared", F.col("left").isNotNull() & (chars > max_removed * F.length("text")))
-    use = F.col("left").isNotNull() & ~F.col("spared")
+        places = repeated_places(rows.select("d", own.alias("text")), min_chars)
+        listed = written(rows.join(places, ["d", "t"], "left"), "listed")
+        texts = _texts(listed, own)
+        unequal = written(texts.groupBy("h").agg(F.min("txt").alias("a"), F.max("txt").alias("b")).filter("a <> b").select("h"), "unequal")
+        gone = F.transform(F.filter("x", lambda p: p["later"]), lambda p: p["se"])
+        if not unequal.isEmpty():
+            # different texts under one hash: settle each text by itself
+            same = texts.join(unequal, "h", "left_semi")
+            firsts = same.groupBy("h", "txt").agg(F.min("d").alias("o"))
+            settled = same.join(firsts, ["h", "txt"]).withColumn("later", F.col("d") > F.col("o")).select("d", "t", "h", "se", "later")
+            agreed = listed.select("d", "t", F.explode("x").alias("p")).select("d", "t", "p.*").join(unequal, "h", "left_anti").select("d", "t", "h", "se", "later")
+            spans = agreed.union(settled).filter("later").groupBy("d", "t").agg(F.collect_set("se").alias("gone"))
+            listed = written(listed.drop("x").join(spans, ["d", "t"], "left"), "settled")
+            gone = F.col("gone")
+    rows = listed.select("row", F.when(F.size(gone) > 0, gone).alias("gone"))
+
+    def left(u: Column, spans: Column) -> Column:
+        covered = F.flatten(F.transform(spans, lambda se: F.sequence(_start(se), _start(se) + _length(se) - 1)))
+        kept = F.array_except(F.sequence(F.lit(1), F.size(u)), covered)
+        return F.struct(F.array_join(F.transform(kept, lambda i: F.get(u, i - 1)), "").alias("text"), F.size(u).alias("n"), (F.size(u) - F.size(kept)).cast("long").alias("removed"))
+
+    rows = rows.select("row", F.when(F.col("gone").isNotNull(), let(lines(own), lambda u: left(u, F.col("gone")))).alias("z"))
     return rows.select(
-        "row", F.when(use, F.col("left")).otherwise(F.col("text")).alias("text"), F.when(F.col("u").isNotNull(), F.size("u")).alias("n_lines"),
-        F.when(use, F.size("u") - F.size("kept")).otherwise(0).cast("long").alias("n_removed"), F.when(use, chars).otherwise(0).cast("long").alias("removed_chars"), "spared",
+        "row", F.when(F.col("z").isNotNull(), F.col("z.text")).otherwise(own).alias("text"), F.col("z.n").alias("n_lines"), F.coalesce("z.removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.when(F.col("z").isNotNull(), F.length(own) - F.length("z.text")).otherwise(0).cast("long").alias("removed_chars"),
     )
 
 

@@ -1,5 +1,9 @@
 import random
+import time
+from collections import defaultdict
 
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from siftline.llm import line_dedup as ld
@@ -51,8 +55,6 @@ def test_edges(spark):
     out = run(spark, rows)
     assert out[(None, t)].n_removed == 0 and out[(1, t)].text == "" and out[(2, t)].text == ""
     assert out[(6, rows[8][1])].text == rows[8][1] and out[(3, None)].text is None and out[(2, rows[9][1])].n_removed == 0
-    spared = run(spark, rows, max_removed=0.6)
-    assert spared[(2, t)].text == t and spared[(2, t)].spared
     assert run(spark, []) == {}
 
 
@@ -97,3 +99,53 @@ def test_passages_of_51_words_go_however_few_their_lines(spark):
     assert all(min(s) > 0 for n, s in share.items() if n > 1) and all(sum(x == 0 for x in s) <= 2 for s in share.values())
     assert all(sum(s) / len(s) > (0.9 if n else 0.6) for n, s in share.items())
     assert all(out[d].n_removed == 0 for d in range(0, len(rows), 2))
+
+
+def brute_lines(text):
+    return [x for x in regex.findall(ld._LINE, text, regex.V1) if x]
+
+
+def brute(rows, min_chars=ld.MIN_CHARS):
+    """(doc_id, text) -> what is left, from the definition: chunks compared as texts, nothing hashed but boundaries."""
+    spans, holders = {}, defaultdict(set)
+    for d, t in rows:
+        u = brute_lines(t or "")
+        h = [xxhash.xxh64_intdigest(x.rstrip(" \n\t\r\f\v").encode(), 42) for x in u]
+        h = [x - (1 << 64) if x >> 63 else x for x in h]
+        cuts = [i for i in range(len(u)) if i == 0 or i + 1 == len(u) or h[i] <= h[i - 1] or h[i] <= h[i + 1]]
+        enough = lambda i, j: sum(map(len, u[i : j + 1])) >= min_chars
+        found = {(i, next((j for j in cuts[k + 1 :] if enough(i, j)), None)) for k, i in enumerate(cuts)}
+        found |= {(next((i for i in cuts[:k][::-1] if enough(i, j)), None), j) for k, j in enumerate(cuts)}
+        spans[d, t] = [(i, j, "".join(u[i : j + 1]).rstrip(" \n\t\r\f\v")) for i, j in found if None not in (i, j)]
+        for *_, txt in spans[d, t]:
+            holders[txt].add(d)
+    left = {}
+    for d, t in rows:
+        gone = {x for i, j, txt in spans[d, t] if min(holders[txt]) < d for x in range(i, j + 1)}
+        left[d, t] = "".join(x for i, x in enumerate(brute_lines(t)) if i not in gone) if gone else t
+    return left
+
+
+def test_removed_chunks_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    random.seed(21)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    passages = ["a\nb\n\nc.\n" * 9, body(5), " ".join("abcdefgh"[i % 8] * 3 for i in range(60)), "".join(random.choices("\u4e00\u4e8c\u4e09\u56db\u3002\uff0c", k=200))]
+    rows += [(10_000 + i, f"{body(3)} {passages[i % 4]} {body(2)}") for i in range(16)] + [(20_000, "tiny\n" * 40), (20_001, "x " + "tiny\n" * 40)]
+    out = {k: r.text for k, r in run(spark, rows).items()}
+    assert out == brute(rows)
+    assert sum(out[k] != k[1] for k in out) > 12
+
+
+def test_two_documents_of_100_000_lines(spark):
+    text = "".join(f"line {i} of a long text\n" for i in range(100_000))
+    out = run(spark, [(1, text), (2, text), (3, text[: len(text) // 2])])
+    assert out[(1, text)].text == text and out[(2, text)].text == "" and out[(2, text)].n_removed == 100_000
+    assert len(out[(3, text[: len(text) // 2])].text) < 100
+    df = spark.createDataFrame([(1, text)], "d long, text string")
+    times = []
+    for n in (1, 4):
+        began = time.time()
+        assert ld.chunks(df.withColumn("text", F.repeat("text", n))).count() > 40_000 * n
+        times.append(time.time() - began)
+    assert times[1] < 10 * times[0] + 2  # in proportion, not its square
