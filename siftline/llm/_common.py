@@ -36,7 +36,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.siftline_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made and that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.siftline_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def private(df: DataFrame, *names: str) -> list[str]:

@@ -1,14 +1,15 @@
 """Line deduplication with content-defined chunks of lines.
 
-A line is a stretch of text up to and with a line break or the end of a sentence and the white space after it; sentences are
-also cut between two words whose letters at the cut are in ``_BEFORE`` and ``_AFTER`` (one place in seven or so; or after a
-full-width mark), so a stretch without punctuation has lines too, cut alike wherever it stands. The lines of a text put together are the text.
+A line is a stretch of text up to and with a line break or the end of a sentence and the white space after it. A sentence
+that goes on for over ``LONG`` characters is also cut between two words whose letters at the cut are in ``_BEFORE`` and ``_AFTER``
+(one place in seven or so; in other scripts one in three, or after a full-width mark), so a stretch without punctuation has
+lines too, cut alike wherever it stands. The lines of a text put together are the text.
 
 Boundaries are chosen by rolling over the lines' hashes: a line is one if its hash isn't above that of a neighbour, so of
 two neighbouring lines one is a boundary at least, and whether a line inside a passage is one depends on the passage only. A
-chunk goes from a boundary up to and with the next one that gives it ``min_chars`` characters, or back to the last such; it
-has two lines or more, and chunks overlap. Any passage of four such lines or more that has the characters holds a chunk wherever
-it stands, and all of it but a line at either end is covered. Chunks that occur in more than one document are removed from all but the one with the smallest id,
+chunk goes from a boundary up to and with the next one that gives it ``min_chars`` characters (from a text's last line
+back to such a one); it has two lines or more, and chunks overlap in their boundaries. Any passage of four such lines or more
+that has the characters holds a chunk wherever it stands, and all of it but a line or so at either end is covered. Chunks that occur in more than one document are removed from all but the one with the smallest id,
 after the bytes have been compared (the stretch of the text itself, without the white space at its end).
 
 Native throughout, in four steps: (1) chunk hashes, one narrow row each; (2) an aggregate that combines before its
@@ -29,19 +30,20 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import let, table, written
+from ._common import discard, let, table, written
 
-MIN_CHARS = 60
-
-
-def _letters(latin: str, first: int) -> str:
-    """A class of ``latin`` and 12 of every 32 characters of other scripts; Latin letters fail it at the first test."""
-    return rf"[{latin}[[^\x00-ÿ]&&[{''.join(f'\\u{c:04x}-\\u{c + 11:04x}' for c in range(0x100 + first, 0xE00, 32))}]]]"
+LONG, MIN_CHARS = 64, 48
 
 
 #: Letters that end the word before a cut, and that begin the word after it: about three in eight of each.
-_BEFORE, _AFTER = _letters("acdgilmpruy,;:0-3à-ê", 0), _letters("acegkmpruwA-J4-7à-ê", 16)
-_LINE = rf"[^\n.!?]+?(?: (?<={_BEFORE} )(?={_AFTER})|[。！？；，]\s*+)|[^\n.!?]*+(?:[\n.!?]\s*+)*+"
+_BEFORE, _AFTER = "[acdgilmpruy,;:0-3à-ê]", "[acegkmpruwA-J4-7à-ê]"
+_AFTER_OTHER = "".join(f"\\u{c:04x}-\\u{c + 11:04x}" for c in range(0x100, 0xE00, 32))
+_LINE = "|".join([
+    rf"[^\n.!?]{{0,{LONG}}}+(?:[\n.!?]\s*+)++",
+    rf"[^\n.!?]{{1,512}}?{_BEFORE} (?={_AFTER})",
+    rf"[^\n.!?]{{1,512}}?(?: (?<=[^\x00-ÿ] )(?=[{_AFTER_OTHER}])|[。！？；，]\s*+)",
+    r"[^\n.!?]++(?:[\n.!?]\s*+)*+",
+])
 _SPACE = " \n\t\r\f\v"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -79,13 +81,14 @@ def _stretch(u: Column, se: Column) -> Column:
 
 
 def _boundary(hashes: Column, i: Column) -> Column:
-    own, none = F.get(hashes, i), (1 << 63) - 1
-    return (own <= F.coalesce(F.get(hashes, i - 1), F.lit(none))) | (own <= F.coalesce(F.get(hashes, i + 1), F.lit(none)))
+    return F.get(hashes, i) <= F.greatest(F.get(hashes, i - 1), F.get(hashes, i + 1))
 
 
 def boundaries(hashes: Column) -> Column:
-    """Numbers (from 0) of the lines whose hash isn't above that of a neighbour."""
-    return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: _boundary(hashes, i))
+    """Numbers (from 0) of the lines whose hash isn't above that of a neighbour, and of the first and last."""
+    last = F.size(hashes) - 1
+    inner = F.when(last > 1, F.filter(F.sequence(F.lit(1), last - 1), lambda i: _boundary(hashes, i))).otherwise(F.array().cast("array<int>"))
+    return F.concat(F.array(F.lit(0)), inner, F.array(last))
 
 
 def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int = 4) -> Column:
@@ -98,7 +101,7 @@ def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int =
         # lines have a character and every second one is a boundary at least, so 2 * min_chars more lines do
         start = F.struct(chars.alias("n"), F.lit(None).cast("int").alias("j"))
         more = lambda a, x: F.when(a["j"].isNotNull(), a).otherwise(
-            F.struct((a["n"] + F.get(n, x)).alias("n"), F.when((a["n"] + F.get(n, x) >= min_chars) & _boundary(hashes, x), x).alias("j"))
+            F.struct((a["n"] + F.get(n, x)).alias("n"), F.when((a["n"] + F.get(n, x) >= min_chars) & (_boundary(hashes, x) | (x == 0) | (x == F.size(n) - 1)), x).alias("j"))
         )
         if way > 0:
             return F.when(j + 1 < F.size(n), F.aggregate(F.sequence(j + 1, F.least(j + 2 * min_chars, F.size(n) - 1)), start, more, lambda a: a["j"]))
@@ -114,9 +117,12 @@ def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int =
             before = j
         return out.when(before.isNotNull(), further(before, chars, way))
 
-    onwards = F.filter(F.transform(cuts, lambda i, k: F.struct(i.alias("i"), end(i, k, 1).alias("j"))), lambda x: x["j"].isNotNull())
-    back = F.filter(F.transform(cuts, lambda j, k: F.struct(end(j, k, -1).alias("i"), j.alias("j"))), lambda x: x["i"].isNotNull())
-    return F.array_distinct(F.transform(F.concat(onwards, back), lambda x: _packed(x["i"] + 1, x["j"] - x["i"] + 1)))
+    def of(i: Column, k: Column) -> Column:
+        ahead, back = F.struct(i.alias("i"), end(i, k, 1).alias("j")), F.struct(end(i, k, -1).alias("i"), i.alias("j"))
+        return F.when(k + 1 < F.size(cuts), ahead).otherwise(back)
+
+    found = F.filter(F.transform(cuts, of), lambda x: x["i"].isNotNull() & x["j"].isNotNull())
+    return F.transform(found, lambda x: _packed(x["i"] + 1, x["j"] - x["i"] + 1))
 
 
 def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -140,7 +146,9 @@ def repeated_places(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     all_chunks = written(chunks(docs, min_chars), "chunks")
     repeated = all_chunks.groupBy("h").agg(F.min("d").alias("o"), F.max("d").alias("m")).filter("o < m").select("h", "o")
     places = all_chunks.join(repeated, "h").select("d", "t", F.struct("h", "se", (F.col("d") > F.col("o")).alias("later")).alias("p"))
-    return places.groupBy("d", "t").agg(F.collect_list("p").alias("x"))
+    listed = written(places.groupBy("d", "t").agg(F.collect_list("p").alias("x")), "places")
+    discard(all_chunks)
+    return listed
 
 
 def _texts(listed: DataFrame, text: Column) -> DataFrame:
