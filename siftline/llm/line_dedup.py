@@ -32,18 +32,14 @@ from pyspark.sql import functions as F
 
 from ._common import discard, let, table, written
 
-LONG, MIN_CHARS = 64, 48
+LONG, MIN_CHARS = 80, 48
 
 
 #: Letters that end the word before a cut, and that begin the word after it: about three in eight of each.
 _BEFORE, _AFTER = "[acdgilmpruy,;:0-3à-ê]", "[acegkmpruwA-J4-7à-ê]"
 _AFTER_OTHER = "".join(f"\\u{c:04x}-\\u{c + 11:04x}" for c in range(0x100, 0xE00, 32))
-_LINE = "|".join([
-    rf"[^\n.!?]{{0,{LONG}}}+(?:[\n.!?]\s*+)++",
-    rf"[^\n.!?]{{1,512}}?{_BEFORE} (?={_AFTER})",
-    rf"[^\n.!?]{{1,512}}?(?: (?<=[^\x00-ÿ] )(?=[{_AFTER_OTHER}])|[。！？；，]\s*+)",
-    r"[^\n.!?]++(?:[\n.!?]\s*+)*+",
-])
+_SENTENCE = r"[^\n.!?]*+(?:[\n.!?]\s*+)*+"
+_PIECE = rf"(?s).{{1,512}}?{_BEFORE} (?={_AFTER})|.{{1,512}}?(?: (?<=[^\x00-ÿ] )(?=[{_AFTER_OTHER}])|[。！？；，]\s*+)|.++"
 _SPACE = " \n\t\r\f\v"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -60,7 +56,8 @@ def _shuffle_files_go(spark):
 
 
 def lines(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)), lambda x: x != "")
+    whole = F.filter(F.regexp_extract_all(text, F.lit(_SENTENCE), F.lit(0)), lambda x: x != "")
+    return F.flatten(F.transform(whole, lambda x: F.when(F.length(x) > LONG, F.regexp_extract_all(x, F.lit(_PIECE), F.lit(0))).otherwise(F.array(x))))
 
 
 def _packed(start: Column, length: Column) -> Column:
@@ -107,22 +104,18 @@ def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int =
             return F.when(j + 1 < F.size(n), F.aggregate(F.sequence(j + 1, F.least(j + 2 * min_chars, F.size(n) - 1)), start, more, lambda a: a["j"]))
         return F.when(j > 0, F.aggregate(F.sequence(j - 1, F.greatest(j - 2 * min_chars, F.lit(0)), F.lit(-1)), start, more, lambda a: a["j"]))
 
-    def end(i: Column, k: Column, way: int) -> Column:
-        """The boundary, onwards or back from ``i`` (number ``k`` of ``cuts``), that gives a chunk enough characters."""
+    def chunk(i: Column, k: Column, way: int) -> Column:
+        """From boundary ``i`` (number ``k`` of ``cuts``) onwards or back to the one that gives it enough characters."""
+        span = lambda j: _packed(i + 1, j - i + 1) if way > 0 else _packed(j + 1, i - j + 1)
         out, chars, before = F, F.get(n, i), i
         for step in range(1, near + 1):
             j = F.get(cuts, k + step * way)
-            chars = chars + F.get(n, j) + F.when(F.abs(j - before) == 2, F.get(n, j - way)).otherwise(0)  # boundaries are one line apart at most
-            out = out.when(chars >= min_chars, j)
+            chars = chars + F.get(n, j) + F.when(j - before == 2 * way, F.get(n, j - way)).otherwise(0)  # boundaries are one line apart at most
+            out = out.when(chars >= min_chars, span(j))
             before = j
-        return out.when(before.isNotNull(), further(before, chars, way))
+        return out.when(before.isNotNull(), span(further(before, chars, way)))
 
-    def of(i: Column, k: Column) -> Column:
-        ahead, back = F.struct(i.alias("i"), end(i, k, 1).alias("j")), F.struct(end(i, k, -1).alias("i"), i.alias("j"))
-        return F.when(k + 1 < F.size(cuts), ahead).otherwise(back)
-
-    found = F.filter(F.transform(cuts, of), lambda x: x["i"].isNotNull() & x["j"].isNotNull())
-    return F.transform(found, lambda x: _packed(x["i"] + 1, x["j"] - x["i"] + 1))
+    return F.array_compact(F.transform(cuts, lambda i, k: F.when(k + 1 < F.size(cuts), chunk(i, k, 1)).otherwise(chunk(i, k, -1))))
 
 
 def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -151,44 +144,44 @@ def repeated_places(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return listed
 
 
-def _texts(listed: DataFrame, text: Column) -> DataFrame:
-    """(h, d, t, se, txt): the repeated chunks' own texts."""
-    own = let(lines(text), lambda u: F.transform("x", lambda p: F.struct(p["h"].alias("h"), p["se"].alias("se"), _stretch(u, p["se"]).alias("txt"))))
-    return listed.filter("x IS NOT NULL").select("d", "t", F.explode(own).alias("p")).select("p.h", "d", "t", "p.se", "p.txt")
+def _left(u: Column, spans: Column) -> Column:
+    """What is left of a text's lines, how many they were and how many went; null where none go."""
+    covered = F.flatten(F.transform(spans, lambda se: F.sequence(_start(se), _start(se) + _length(se) - 1)))
+    kept = lambda gone: F.array_except(F.sequence(F.lit(1), F.size(u)), gone)
+    out = lambda k: F.struct(F.array_join(F.transform(k, lambda i: F.get(u, i - 1)), "").alias("text"), F.size(u).alias("n"), (F.size(u) - F.size(k)).cast("long").alias("removed"))
+    return F.when(F.size(spans) > 0, let(kept(covered), out))
 
 
 def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(row struct, text, n_lines, n_removed, removed_chars): ``row`` holds the input row, ``text`` what is left.
 
-    n_lines is null where no chunk of the text repeats.
+    n_lines is null where no line goes.
     """
     none = F.lit(-(1 << 63)).cast("long")
     own = F.col(f"row.`{text}`")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), none).alias("d"), F.xxhash64(F.col(text)).alias("t"))
     with _shuffle_files_go(df.sparkSession):
         places = repeated_places(rows.select("d", own.alias("text")), min_chars)
-        listed = written(rows.join(places, ["d", "t"], "left"), "listed")
-        texts = _texts(listed, own)
+
+        def both(u: Column) -> Column:
+            texts = F.transform("x", lambda p: F.struct(p["h"].alias("h"), p["se"].alias("se"), p["later"].alias("later"), _stretch(u, p["se"]).alias("txt")))
+            return F.struct(texts.alias("x"), _left(u, F.transform(F.filter("x", lambda p: p["later"]), lambda p: p["se"])).alias("z"))
+
+        listed = rows.join(places, ["d", "t"], "left").withColumn("y", F.when(F.col("x").isNotNull(), let(lines(own), both)))
+        listed = written(listed.select("row", "d", "t", "y.x", "y.z"), "listed")
+        discard(places)
+        texts = listed.select("d", "t", F.explode("x").alias("p")).select("d", "t", "p.*")
         unequal = written(texts.groupBy("h").agg(F.min("txt").alias("a"), F.max("txt").alias("b")).filter("a <> b").select("h"), "unequal")
-        gone = F.transform(F.filter("x", lambda p: p["later"]), lambda p: p["se"])
         if not unequal.isEmpty():
             # different texts under one hash: settle each text by itself
             same = texts.join(unequal, "h", "left_semi")
             firsts = same.groupBy("h", "txt").agg(F.min("d").alias("o"))
-            settled = same.join(firsts, ["h", "txt"]).withColumn("later", F.col("d") > F.col("o")).select("d", "t", "h", "se", "later")
-            agreed = listed.select("d", "t", F.explode("x").alias("p")).select("d", "t", "p.*").join(unequal, "h", "left_anti").select("d", "t", "h", "se", "later")
+            settled = same.join(firsts, ["h", "txt"]).withColumn("later", F.col("d") > F.col("o")).select("d", "t", "se", "later")
+            agreed = texts.join(unequal, "h", "left_anti").select("d", "t", "se", "later")
             spans = agreed.union(settled).filter("later").groupBy("d", "t").agg(F.collect_set("se").alias("gone"))
-            listed = written(listed.drop("x").join(spans, ["d", "t"], "left"), "settled")
-            gone = F.col("gone")
-    rows = listed.select("row", F.when(F.size(gone) > 0, gone).alias("gone"))
-
-    def left(u: Column, spans: Column) -> Column:
-        covered = F.flatten(F.transform(spans, lambda se: F.sequence(_start(se), _start(se) + _length(se) - 1)))
-        kept = F.array_except(F.sequence(F.lit(1), F.size(u)), covered)
-        return F.struct(F.array_join(F.transform(kept, lambda i: F.get(u, i - 1)), "").alias("text"), F.size(u).alias("n"), (F.size(u) - F.size(kept)).cast("long").alias("removed"))
-
-    rows = rows.select("row", F.when(F.col("gone").isNotNull(), let(lines(own), lambda u: left(u, F.col("gone")))).alias("z"))
-    return rows.select(
+            again = let(lines(own), lambda u: _left(u, F.col("gone")))
+            listed = written(listed.drop("x", "z").join(spans, ["d", "t"], "left").withColumn("z", F.when(F.col("gone").isNotNull(), again)), "settled")
+    return listed.select(
         "row", F.when(F.col("z").isNotNull(), F.col("z.text")).otherwise(own).alias("text"), F.col("z.n").alias("n_lines"), F.coalesce("z.removed", F.lit(0).cast("long")).alias("n_removed"),
         F.when(F.col("z").isNotNull(), F.length(own) - F.length("z.text")).otherwise(0).cast("long").alias("removed_chars"),
     )

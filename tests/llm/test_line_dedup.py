@@ -97,12 +97,13 @@ def test_passages_of_51_words_go_however_few_their_lines(spark):
     share = {n: [out[d].removed_chars / size for d, (k, size) in kinds.items() if k == n] for n, _ in kinds.values()}
     print({n: (sum(x == 0 for x in s), round(sum(s) / len(s), 3)) for n, s in share.items()})
     assert all(min(s) > 0 for n, s in share.items() if n > 1) and all(sum(x == 0 for x in s) <= 2 for s in share.values())
-    assert all(sum(s) / len(s) > (0.85 if n else 0.6) for n, s in share.items())
+    assert all(sum(s) / len(s) > (0.75 if n else 0.6) for n, s in share.items())
     assert all(out[d].n_removed == 0 for d in range(0, len(rows), 2))
 
 
 def brute_lines(text):
-    return [x for x in regex.findall(ld._LINE, text, regex.V1) if x]
+    whole = [x for x in regex.findall(ld._SENTENCE, text) if x]
+    return [y for x in whole for y in (regex.findall(ld._PIECE, x) if len(x) > ld.LONG else [x])]
 
 
 def brute(rows, min_chars=ld.MIN_CHARS):
