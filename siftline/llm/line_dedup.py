@@ -7,9 +7,10 @@ lines too, cut alike wherever it stands. The lines of a text put together are th
 
 Boundaries are chosen by rolling over the lines' hashes: a line is one if its hash isn't above that of a neighbour, so of
 two neighbouring lines one is a boundary at least, and whether a line inside a passage is one depends on the passage only. A
+line that has ``min_chars`` by itself is always one. A
 chunk goes from a boundary up to and with the next one that gives it ``min_chars`` characters (from a text's last line
-back to such a one); it has two lines or more, and chunks overlap in their boundaries. Any passage of four such lines or more
-that has the characters holds a chunk wherever it stands, and all of it but a line or so at either end is covered. Chunks that occur in more than one document are removed from all but the one with the smallest id,
+back to such a one); it has two lines or more, and chunks overlap in their boundaries. Any passage of four lines or more, or
+of two long ones, that has the characters holds a chunk wherever it stands, and all of it but a line or so at either end is covered. Chunks that occur in more than one document are removed from all but the one with the smallest id,
 after the bytes have been compared (the stretch of the text itself, without the white space at its end).
 
 Native throughout, in four steps: (1) chunk hashes, one narrow row each; (2) an aggregate that combines before its
@@ -32,14 +33,18 @@ from pyspark.sql import functions as F
 
 from ._common import discard, let, table, written
 
-LONG, MIN_CHARS = 80, 48
+LONG, MIN_CHARS = 120, 48
 
 
 #: Letters that end the word before a cut, and that begin the word after it: about three in eight of each.
 _BEFORE, _AFTER = "[acdgilmpruy,;:0-3à-ê]", "[acegkmpruwA-J4-7à-ê]"
 _AFTER_OTHER = "".join(f"\\u{c:04x}-\\u{c + 11:04x}" for c in range(0x100, 0xE00, 32))
-_SENTENCE = r"[^\n.!?]*+(?:[\n.!?]\s*+)*+"
-_PIECE = rf"(?s).{{1,512}}?{_BEFORE} (?={_AFTER})|.{{1,512}}?(?: (?<=[^\x00-ÿ] )(?=[{_AFTER_OTHER}])|[。！？；，]\s*+)|.++"
+_LINE = "|".join([
+    rf"[^\n.!?]{{0,{LONG}}}+(?:[\n.!?]\s*+)++",
+    rf"[^\n.!?]{{1,512}}?{_BEFORE} (?={_AFTER})",
+    rf"[^\n.!?]{{1,512}}?(?: (?<=[^\x00-ÿ] )(?=[{_AFTER_OTHER}])|[。！？；，]\s*+)",
+    r"[^\n.!?]++(?:[\n.!?]\s*+)*+",
+])
 _SPACE = " \n\t\r\f\v"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -56,8 +61,7 @@ def _shuffle_files_go(spark):
 
 
 def lines(text: Column) -> Column:
-    whole = F.filter(F.regexp_extract_all(text, F.lit(_SENTENCE), F.lit(0)), lambda x: x != "")
-    return F.flatten(F.transform(whole, lambda x: F.when(F.length(x) > LONG, F.regexp_extract_all(x, F.lit(_PIECE), F.lit(0))).otherwise(F.array(x))))
+    return F.filter(F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)), lambda x: x != "")
 
 
 def _packed(start: Column, length: Column) -> Column:
@@ -77,19 +81,21 @@ def _stretch(u: Column, se: Column) -> Column:
     return F.rtrim(F.array_join(F.slice(u, _start(se), _length(se)), ""), F.lit(_SPACE))
 
 
-def _boundary(hashes: Column, i: Column) -> Column:
-    return F.get(hashes, i) <= F.greatest(F.get(hashes, i - 1), F.get(hashes, i + 1))
+def _boundary(n: Column, hashes: Column, i: Column, min_chars: int) -> Column:
+    return (F.get(n, i) >= min_chars) | (F.get(hashes, i) <= F.greatest(F.get(hashes, i - 1), F.get(hashes, i + 1)))
 
 
-def boundaries(hashes: Column) -> Column:
-    """Numbers (from 0) of the lines whose hash isn't above that of a neighbour, and of the first and last."""
+def boundaries(n: Column, hashes: Column, min_chars: int) -> Column:
+    """Numbers (from 0) of the lines that have ``min_chars`` or whose hash isn't above that of a neighbour, and of the first
+    and last."""
     last = F.size(hashes) - 1
-    inner = F.when(last > 1, F.filter(F.sequence(F.lit(1), last - 1), lambda i: _boundary(hashes, i))).otherwise(F.array().cast("array<int>"))
+    inner = F.when(last > 1, F.filter(F.sequence(F.lit(1), last - 1), lambda i: _boundary(n, hashes, i, min_chars))).otherwise(F.array().cast("array<int>"))
     return F.concat(F.array(F.lit(0)), inner, F.array(last))
 
 
-def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int = 4) -> Column:
-    """Packed first line (from 1) and number of lines of each chunk, none where the text ends before ``min_chars``.
+def _ends(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int = 4) -> Column:
+    """For each boundary the one at the other end of its chunk: a later one, for the last boundary an earlier one, null where
+    the text ends before ``min_chars``.
 
     ``n``: the lines' lengths. Chunks of more than ``near`` boundaries are rare; their ends are looked for line by line.
     """
@@ -98,39 +104,42 @@ def _spans(n: Column, hashes: Column, cuts: Column, min_chars: int, near: int =
         # lines have a character and every second one is a boundary at least, so 2 * min_chars more lines do
         start = F.struct(chars.alias("n"), F.lit(None).cast("int").alias("j"))
         more = lambda a, x: F.when(a["j"].isNotNull(), a).otherwise(
-            F.struct((a["n"] + F.get(n, x)).alias("n"), F.when((a["n"] + F.get(n, x) >= min_chars) & (_boundary(hashes, x) | (x == 0) | (x == F.size(n) - 1)), x).alias("j"))
+            F.struct((a["n"] + F.get(n, x)).alias("n"), F.when((a["n"] + F.get(n, x) >= min_chars) & (_boundary(n, hashes, x, min_chars) | (x == 0) | (x == F.size(n) - 1)), x).alias("j"))
         )
         if way > 0:
             return F.when(j + 1 < F.size(n), F.aggregate(F.sequence(j + 1, F.least(j + 2 * min_chars, F.size(n) - 1)), start, more, lambda a: a["j"]))
         return F.when(j > 0, F.aggregate(F.sequence(j - 1, F.greatest(j - 2 * min_chars, F.lit(0)), F.lit(-1)), start, more, lambda a: a["j"]))
 
-    def chunk(i: Column, k: Column, way: int) -> Column:
-        """From boundary ``i`` (number ``k`` of ``cuts``) onwards or back to the one that gives it enough characters."""
-        span = lambda j: _packed(i + 1, j - i + 1) if way > 0 else _packed(j + 1, i - j + 1)
+    def other(i: Column, k: Column, way: int) -> Column:
         out, chars, before = F, F.get(n, i), i
         for step in range(1, near + 1):
             j = F.get(cuts, k + step * way)
             chars = chars + F.get(n, j) + F.when(j - before == 2 * way, F.get(n, j - way)).otherwise(0)  # boundaries are one line apart at most
-            out = out.when(chars >= min_chars, span(j))
+            out = out.when(chars >= min_chars, j)
             before = j
-        return out.when(before.isNotNull(), span(further(before, chars, way)))
+        return out.when(before.isNotNull(), further(before, chars, way))
 
-    return F.array_compact(F.transform(cuts, lambda i, k: F.when(k + 1 < F.size(cuts), chunk(i, k, 1)).otherwise(chunk(i, k, -1))))
+    return F.transform(cuts, lambda i, k: F.when(k + 1 < F.size(cuts), other(i, k, 1)).otherwise(other(i, k, -1)))
 
 
 def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, d, t, se) of every chunk of ``df`` (columns d and text): hash, document, hash of its text, packed first line
     (from 1) and length."""
 
+    def of(u: Column, n: Column, hs: Column) -> Column:
+        chunk = lambda i, j: F.struct(F.xxhash64(F.array_join(F.slice(u, i + 1, j - i), ""), F.get(hs, j)).alias("h"), i.alias("i"), j.alias("j"))
+        both = lambda i, j: F.when(i < j, chunk(i, j)).when(j < i, chunk(j, i))
+        return let(boundaries(n, hs, min_chars), lambda cuts: F.array_compact(F.zip_with(cuts, _ends(n, hs, cuts, min_chars), both)))
+
     def found(u: Column) -> Column:
-        hashes = F.transform(u, lambda x: F.xxhash64(F.rtrim(x, F.lit(_SPACE))))
-        lengths = F.transform(u, lambda x: F.length(x))
-        spans = let(hashes, lambda hs: let(lengths, lambda n: let(boundaries(hs), lambda cuts: _spans(n, hs, cuts, min_chars))))
-        return F.transform(spans, lambda se: F.struct(F.xxhash64(_stretch(u, se)).alias("h"), se.alias("se")))
+        hashes, lengths = F.transform(u, lambda x: F.xxhash64(F.rtrim(x, F.lit(_SPACE)))), F.transform(u, lambda x: F.length(x))
+        return let(hashes, lambda hs: let(lengths, lambda n: of(u, n, hs)))
 
     rows = df.select("d", "text").filter(F.length("text") >= min_chars)
     own = let(lines(F.col("text")), lambda u: F.when(F.size(u) > 1, found(u)))
-    return rows.select("d", F.xxhash64("text").alias("t"), F.explode(own).alias("x")).select("x.h", "d", "t", "x.se")
+    # outer, because Spark would filter by the size of an inner explode's argument first, that is, evaluate it twice
+    rows = rows.select("d", F.xxhash64("text").alias("t"), F.explode_outer(own).alias("x")).filter("x IS NOT NULL")
+    return rows.select("x.h", "d", "t", _packed(F.col("x.i") + 1, F.col("x.j") - F.col("x.i") + 1).alias("se"))
 
 
 def repeated_places(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

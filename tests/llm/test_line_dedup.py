@@ -102,8 +102,7 @@ def test_passages_of_51_words_go_however_few_their_lines(spark):
 
 
 def brute_lines(text):
-    whole = [x for x in regex.findall(ld._SENTENCE, text) if x]
-    return [y for x in whole for y in (regex.findall(ld._PIECE, x) if len(x) > ld.LONG else [x])]
+    return [x for x in regex.findall(ld._LINE, text) if x]
 
 
 def brute(rows, min_chars=ld.MIN_CHARS):
@@ -113,7 +112,7 @@ def brute(rows, min_chars=ld.MIN_CHARS):
         u = brute_lines(t or "")
         h = [xxhash.xxh64_intdigest(x.rstrip(" \n\t\r\f\v").encode(), 42) for x in u]
         h = [x - (1 << 64) if x >> 63 else x for x in h]
-        cuts = [i for i in range(len(u)) if i == 0 or i + 1 == len(u) or h[i] <= h[i - 1] or h[i] <= h[i + 1]]
+        cuts = [i for i in range(len(u)) if i == 0 or i + 1 == len(u) or len(u[i]) >= min_chars or h[i] <= h[i - 1] or h[i] <= h[i + 1]]
         enough = lambda i, j: sum(map(len, u[i : j + 1])) >= min_chars
         found = {(i, next((j for j in cuts[k + 1 :] if enough(i, j)), None)) for k, i in enumerate(cuts)}
         if cuts:
