@@ -139,7 +139,7 @@ def chunks(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     rows = df.select("d", "text").filter(F.length("text") >= min_chars)
     own = let(lines(F.col("text")), lambda u: F.when(F.size(u) > 1, found(u)))
     # outer, because Spark would filter by the size of an inner explode's argument first, that is, evaluate it twice
-    rows = rows.select("d", F.xxhash64("text").alias("t"), F.explode_outer(own).alias("x")).filter("x IS NOT NULL")
+    rows = rows.select("d", F.xxhash64("text").alias("t"), own.alias("c")).select("d", "t", F.explode_outer("c").alias("x")).filter("x IS NOT NULL")
     return rows.select("x.h", "d", "t", _packed(F.col("x.i") + 1, F.col("x.j") - F.col("x.i") + 1).alias("se"))
 
 
