@@ -3,11 +3,14 @@
 Each document is measured once (whole text). The rates of the documents that pass the base rules feed mergeable quantile
 sketches per language and source: log-linear histograms, whose cells are the leading seven bits of a whole number, so a
 quantile is exact to 1/64, sketches merge by adding counts in any order, and results never depend on how rows were dealt
-out. Sketches of a language merge from those of its sources, and that of the corpus from those; a group of under
-``min_group`` documents takes the thresholds of its language, or else the corpus. Thresholds are far-out fences around the
-quartiles, ``q1 - reach * spread`` and ``q3 + reach * spread``, where the spread is the interquartile range, but
-at least a floor per rate, so that a group of equals rejects nobody for a trifle. Filtering joins documents with the
-thresholds of their group.
+out. Sketches of a language merge from those of its sources, and that of the corpus from those.
+
+From each sketch come the median and a tail quantile per rate (90 or 99 %, a parameter; the 10 or 1 % one where low values are
+rejected too). Those of a group are drawn towards its language's, and these towards the corpus's, as if ``PRIOR`` documents
+of the larger group were added, so small groups follow the larger and large ones their own data. A threshold lies
+``reach`` times the distance from median to tail beyond the tail; the distance counts as ``least`` at least, a few per cent
+of what junk shows, so that a group of equals rejects nobody for a trifle. Filtering joins documents with the thresholds of
+their group.
 
 Scale: counting cells combines before the shuffle, so a source with a third of all rows sends as many cells as others;
 the thresholds have one row per group, and are broadcast only if counted and within ``MAX_BROADCAST_GROUPS``, else
@@ -27,17 +30,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import bounded_batches, column_at, table, written
+from ._common import bounded_batches, column_at, private, table, written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-#: Rate: (numerator, denominator, scale, smallest spread, whether low values are rejected too).
+#: Rate: (numerator, denominator, scale, tail in per cent, reach, least distance, whether low values are rejected too).
 RATES = {
-    "word_length": ("word_chars", "n_words", 100, 50, True),
-    "symbol_rate": ("n_symbols", "n_words", 1000, 350, False),
-    "dup_line_rate": ("n_dup_lines", "n_lines", 1000, 167, False),
-    "repeat_rate": ("n_repeat_words", "n_words", 1000, 100, False),
+    "word_length": ("word_chars", "n_words", 100, 90, 3, 10, True),
+    "symbol_rate": ("n_symbols", "n_words", 1000, 90, 3, 30, False),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1000, 99, 2, 30, False),
+    "repeat_rate": ("n_repeat_words", "n_words", 1000, 99, 2, 30, False),
 }
-REACH, MIN_GROUP = 3, 50
+#: Documents of the next larger group that a group's quantiles are mixed with.
+PRIOR = 200
 MAX_BROADCAST_GROUPS = 100_000
 
 
@@ -66,7 +70,7 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
 def measure(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataFrame:
     """``df`` with the measures as long columns; without a shuffle."""
     bounded_batches(df.sparkSession)
-    kept = [f for f in df.schema.fields if f.name not in MEASURES]
+    kept = [f for f in df.schema.fields if f.name.lower() not in MEASURES]
     df = df.select(*[f.name for f in kept])
     kept = [f for f in kept if not (drop_text and f.name == text)]
     schema = T.StructType([*kept, *[T.StructField(m, T.LongType()) for m in MEASURES]])
@@ -86,7 +90,7 @@ def base_failed() -> Column:
 
 
 def rate(name: str) -> Column:
-    top, bottom, scale, _, _ = RATES[name]
+    top, bottom, scale, *_ = RATES[name]
     return F.when(F.col(bottom) > 0, F.floor(F.expr(f"({scale} * {top}) div {bottom}"))).otherwise(F.lit(0)).cast("long")
 
 
@@ -104,41 +108,46 @@ def sketches(measured: DataFrame, language: str = "lang", source: str = "source"
     return good.groupBy("lang", "source", "rate", F.expr(cell("v")).alias("edge")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def thresholds(cells: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per language and source: level (2 own, 1 language, 0 corpus) and low and high fence of each rate."""
+def thresholds(cells: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """(lang, source, fences): per language and source a map from rate to its low and high threshold."""
     none = F.lit(None).cast("string")
     levels = F.array(*[F.struct(F.lit(k).alias("level"), (F.col("lang") if k else none).alias("l"), (F.col("source") if k == 2 else none).alias("s")) for k in (2, 1, 0)])
     merged = cells.select("rate", "edge", "n", F.explode(levels).alias("x")).groupBy("x.level", "x.l", "x.s", "rate", "edge").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy("level", "l", "s", "rate")
     upto = whole.orderBy("edge").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = merged.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
-    quartiles = ranked.groupBy("level", "l", "s", "rate").agg(F.max("total").alias("n"), F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("edge"))).alias("q1"), F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("edge"))).alias("q3"))
-    floors = F.create_map(*[F.lit(x) for name, (_, _, _, floor, _) in RATES.items() for x in (name, floor)])
-    spread = F.greatest(F.col("q3") - F.col("q1"), floors[F.col("rate")].cast("long"))
-    fences = F.struct((F.col("q1") - reach * spread).alias("low"), (F.col("q3") + reach * spread).alias("high"))
-    wide = quartiles.groupBy("level", "l", "s").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rate", fences.alias("fence")))).alias("fences"))
-    pick = lambda k, *cols: wide.filter(F.col("level") == k).select(*cols, F.col("n").alias(f"n{k}"), F.col("fences").alias(f"f{k}"))
-    own = pick(2, F.col("l").alias("lang"), F.col("s").alias("source"), F.lit(1).alias("one"))
-    out = own.join(pick(1, F.col("l").alias("lang")), "lang", "left").join(pick(0, F.lit(1).alias("one")), "one", "left")
-    use = F.when(F.col("n2") >= min_group, 2).when(F.col("n1") >= min_group, 1).otherwise(0)
-    return out.select("lang", "source", use.alias("level"), F.when(use == 2, F.col("f2")).when(use == 1, F.col("f1")).otherwise(F.col("f0")).alias("fences"))
+    of = lambda k: F.create_map(*[F.lit(x) for name, r in RATES.items() for x in (name, r[k])])[F.col("rate")].cast("long")
+    at = lambda percent: F.min(F.when(100 * F.col("upto") >= percent * F.col("total"), F.col("edge")))
+    found = ranked.withColumn("tail", of(3)).groupBy("level", "l", "s", "rate").agg(F.max("total").alias("n"), at(100 - F.col("tail")).alias("a"), at(F.lit(50)).alias("m"), at(F.col("tail")).alias("b"))
+    pick = lambda k, *cols: found.filter(F.col("level") == k).select("rate", *cols, *[F.col(c).alias(f"{c}{k}") for c in "namb"])
+    own = pick(2, F.col("l").alias("lang"), F.col("s").alias("source"))
+    out = own.join(pick(1, F.col("l").alias("lang")), ["lang", "rate"]).join(pick(0), "rate")
+
+    def mixed(c: str) -> Column:
+        near = f"(n1 * {c}1 + {prior} * {c}0) div (n1 + {prior})"
+        return F.expr(f"(n2 * {c}2 + {prior} * ({near})) div (n2 + {prior})")
+
+    out = out.select("lang", "source", "rate", *[mixed(c).alias(c) for c in "amb"])
+    low = F.col("a") - of(4) * F.greatest(F.col("m") - F.col("a"), of(5))
+    high = F.col("b") + of(4) * F.greatest(F.col("b") - F.col("m"), of(5))
+    return out.groupBy("lang", "source").agg(F.map_from_entries(F.collect_list(F.struct("rate", F.struct(low.alias("low"), high.alias("high"))))).alias("fences"))
 
 
 def judge(measured: DataFrame, fences: DataFrame, language: str = "lang", source: str = "source", max_broadcast: int = MAX_BROADCAST_GROUPS) -> DataFrame:
-    """``measured`` with base_failed, kept, reasons (array<string>) and level of the thresholds that applied."""
-    out = ("base_failed", "kept", "reasons", "level")
-    measured = measured.drop(*out)
+    """``measured`` with base_failed, kept and reasons (array<string>)."""
+    measured = measured.drop("base_failed", "kept", "reasons")
     few = fences.limit(max_broadcast + 1).count() <= max_broadcast  # one row per group: counted before any broadcast
-    right = fences.select(F.col("lang").alias("__l"), F.col("source").alias("__s"), F.col("level").alias("__level"), F.col("fences").alias("__fences"))
-    joined = measured.join(F.broadcast(right) if few else right, (F.coalesce(F.col(language), F.lit("")) == F.col("__l")) & (F.coalesce(F.col(source), F.lit("")) == F.col("__s")), "left")
+    l, s, own = private(measured, "l", "s", "fences")
+    right = fences.select(F.col("lang").alias(l), F.col("source").alias(s), F.col("fences").alias(own))
+    joined = measured.join(F.broadcast(right) if few else right, (F.coalesce(F.col(language), F.lit("")) == F.col(l)) & (F.coalesce(F.col(source), F.lit("")) == F.col(s)), "left")
     reasons = []
-    for name, (_, _, _, _, both) in RATES.items():
-        fence = F.col("__fences")[name]
+    for name, (*_, both) in RATES.items():
+        fence = F.col(own)[name]
         if both:
             reasons.append(F.when(rate(name) < fence["low"], f"{name}_low"))
         reasons.append(F.when(rate(name) > fence["high"], f"{name}_high"))
     reasons = F.when(base_failed(), F.array(F.lit("base"))).otherwise(F.array_compact(F.array(*reasons)))
-    return joined.withColumns({"base_failed": base_failed(), "reasons": reasons, "level": F.col("__level")}).withColumn("kept", F.size("reasons") == 0).drop("__l", "__s", "__level", "__fences")
+    return joined.withColumns({"base_failed": base_failed(), "reasons": reasons}).withColumn("kept", F.size("reasons") == 0).drop(l, s, own)
 
 
 def quality_rules(df: DataFrame, text: str = "text", language: str = "lang", source: str = "source", drop_text: bool = False) -> DataFrame:
@@ -159,10 +168,11 @@ def sql_cell(v: str) -> str:
 
 
 def oracle(select: str = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, reasons", documents: str = "documents") -> str:
-    rates = ", ".join(f"CASE WHEN {b} > 0 THEN ({k} * {t}) // {b} ELSE 0 END AS {name}" for name, (t, b, k, _, _) in RATES.items())
+    rates = ", ".join(f"CASE WHEN {b} > 0 THEN ({k} * {t}) // {b} ELSE 0 END AS {name}" for name, (t, b, k, *_) in RATES.items())
     cells = " UNION ALL ".join(f"SELECT lang, source, '{name}' AS rate, {sql_cell(name)} AS edge FROM r WHERE NOT base_failed" for name in RATES)
-    floors = "CASE rate " + " ".join(f"WHEN '{name}' THEN {floor}" for name, (_, _, _, floor, _) in RATES.items()) + " END"
-    reasons = ", ".join(x for name, (_, _, _, _, both) in RATES.items() for x in ([f"CASE WHEN {name} < {name}_lo THEN '{name}_low' END"] if both else []) + [f"CASE WHEN {name} > {name}_hi THEN '{name}_high' END"])
+    of = lambda k: "CASE rate " + " ".join(f"WHEN '{name}' THEN {r[k]}" for name, r in RATES.items()) + " END"
+    mixed = ", ".join(f"((g.n * g.{c} + {PRIOR} * ((h.n * h.{c} + {PRIOR} * o.{c}) // (h.n + {PRIOR}))) // (g.n + {PRIOR}))::BIGINT AS {c}" for c in "amb")
+    reasons = ", ".join(x for name, (*_, both) in RATES.items() for x in ([f"CASE WHEN {name} < {name}_lo THEN '{name}_low' END"] if both else []) + [f"CASE WHEN {name} > {name}_hi THEN '{name}_high' END"])
     wide = ", ".join(f"max(low) FILTER (rate = '{name}') AS {name}_lo, max(high) FILTER (rate = '{name}') AS {name}_hi" for name in RATES)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, lang, source FROM {documents}),
@@ -179,12 +189,9 @@ r AS (SELECT *, {rates}, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS
 c AS ({cells}),
 lv AS (SELECT 2 AS level, lang AS l, source AS s, rate, edge, count(*) AS n FROM c GROUP BY ALL UNION ALL SELECT 1, lang, NULL, rate, edge, count(*) FROM c GROUP BY ALL UNION ALL SELECT 0, NULL, NULL, rate, edge, count(*) FROM c GROUP BY ALL),
 k AS (SELECT *, sum(n) OVER (PARTITION BY level, l, s, rate ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY level, l, s, rate) AS total FROM lv),
-q AS (SELECT level, l, s, rate, max(total) AS n, min(edge) FILTER (4 * upto >= total) AS q1, min(edge) FILTER (4 * upto >= 3 * total) AS q3 FROM k GROUP BY ALL),
-f AS (SELECT level, l, s, rate, n, q1 - {REACH} * greatest(q3 - q1, {floors}) AS low, q3 + {REACH} * greatest(q3 - q1, {floors}) AS high FROM q),
-x AS (SELECT level, l, s, max(n) AS n, {wide} FROM f GROUP BY level, l, s),
-y AS (SELECT lang, source, max(CASE WHEN level = 2 AND n >= {MIN_GROUP} THEN 2 WHEN level = 1 AND n >= {MIN_GROUP} THEN 1 ELSE 0 END) AS use
-      FROM (SELECT DISTINCT lang, source FROM c) p JOIN x ON (level = 2 AND l = lang AND s = source) OR (level = 1 AND l = lang) OR level = 0 GROUP BY ALL),
-z AS (SELECT r.*, list_filter([{reasons}], lambda e: e IS NOT NULL) AS why
-      FROM r LEFT JOIN y ON r.lang = y.lang AND r.source = y.source
-             LEFT JOIN x ON x.level = y.use AND (y.use = 0 OR (x.l = r.lang AND (y.use = 1 OR x.s = r.source))))
+q AS (SELECT level, l, s, rate, max(total)::BIGINT AS n, min(edge) FILTER (100 * upto >= (100 - {of(3)}) * total) AS a, min(edge) FILTER (100 * upto >= 50 * total) AS m, min(edge) FILTER (100 * upto >= {of(3)} * total) AS b FROM k GROUP BY ALL),
+x AS (SELECT g.l AS lang, g.s AS source, g.rate, {mixed} FROM q g JOIN q h ON h.level = 1 AND h.l = g.l AND h.rate = g.rate JOIN q o ON o.level = 0 AND o.rate = g.rate WHERE g.level = 2),
+f AS (SELECT lang, source, rate, a - {of(4)} * greatest(m - a, {of(5)}) AS low, b + {of(4)} * greatest(b - m, {of(5)}) AS high FROM x),
+y AS (SELECT lang, source, {wide} FROM f GROUP BY lang, source),
+z AS (SELECT r.*, list_filter([{reasons}], lambda e: e IS NOT NULL) AS why FROM r LEFT JOIN y ON r.lang = y.lang AND r.source = y.source)
 SELECT {select} FROM (SELECT *, CASE WHEN base_failed THEN 'base' ELSE array_to_string(why, ',') END AS reasons, NOT base_failed AND len(why) = 0 AS kept FROM z)"""

@@ -40,6 +40,26 @@ def test_adaptive_thresholds_and_edges(spark):
     assert by[101].base_failed and by[102].base_failed and by[101].n_words == 0
 
 
+def test_groups_of_different_distributions_judge_one_document_differently(spark):
+    text = lambda i, k: " ".join(f"{'words' if (j + i) % 10 < 10 - k else 'word&'}{i}x{j}" for j in range(100))
+    plain = [(i, text(i, 0), "en", "plain") for i in range(400)]
+    code = [(1000 + i, text(i, i % 8), "en", "code") for i in range(400)]
+    same = text(1500, 6)
+    out = {r.doc_id: r for r in q.quality_rules(spark.createDataFrame([*plain, *code, (1, same, "en", "plain"), (2, same, "en", "code")], SCHEMA)).collect() if r.text == same}
+    assert not out[1].kept and out[1].reasons == ["symbol_rate_high"] and out[2].kept
+    fences = {(r.lang, r.source): r.fences for r in q.thresholds(q.sketches(q.measure(spark.createDataFrame([*plain, *code], SCHEMA)))).collect()}
+    assert fences["en", "plain"]["symbol_rate"].high < 600 < fences["en", "code"]["symbol_rate"].high
+
+
+def test_very_long_text_ties_and_clashing_names(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    rows = [(1, long, "en", "a"), (2, "x y z " * 50_000, "en", "a")] + [(3, " ".join(f"t{i}" for i in range(60)), "en", "a")] * 3
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"__l": F.lit("own"), "__fences": F.lit(7), "N_WORDS": F.lit(0)})
+    out = q.quality_rules(df).collect()
+    assert {r["__l"] for r in out} == {"own"} and {r["__fences"] for r in out} == {7}
+    assert [r.kept for r in out if r.doc_id == 3] == [True] * 3 and all(r.kept for r in out if r.doc_id == 1) and all(r.base_failed for r in out if r.doc_id == 2)
+
+
 def test_empty_table_and_join_without_broadcast(spark):
     assert q.quality_rules(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(i, " ".join(f"w{j}" for j in range(60)), "en", "a") for i in range(5)]
