@@ -11,7 +11,10 @@ Scale: the benchmark is measured first and cut into blocks of at most ``BLOCK_BY
 shipped to the workers and probed in a single pass over the documents without a shuffle. More blocks mean more passes
 (written out in between), never a larger broadcast.
 
-Edge cases: null and empty texts are clean; null items and items of under ``MIN_WORDS`` words are never matched; an empty
+Items of under ``MIN_WORDS`` words would be found in any prose; they are matched exactly, where a line of the document has
+these words and no others.
+
+Edge cases: null and empty texts are clean; null items and items without words are never matched; an empty
 benchmark leaves all clean; repeated items count once each by id; items of fewer words than a match needs have
 masks of their own, one of which every allowed choice of substitutions leaves alone; input columns
 named like an output column are replaced.
@@ -20,6 +23,7 @@ named like an output column are replaced.
 from __future__ import annotations
 
 import re
+import uuid
 from itertools import combinations
 
 import pyarrow as pa
@@ -61,6 +65,10 @@ class Index:
         random = np.random.default_rng(20240601)
         words = [(item, tokens(text)) for item, text in items]
         self.items = [(item, w) for item, w in sorted(words) if len(w) >= MIN_WORDS]
+        self.lines: dict[tuple, list[int]] = {}
+        for item, w in words:
+            if 0 < len(w) < MIN_WORDS:
+                self.lines.setdefault(tuple(w), []).append(item)
         vocabulary = sorted({x for _, w in self.items for x in w})
         self.number = {x: i + 1 for i, x in enumerate(vocabulary)}
         self.code = random.integers(1, 1 << 63, len(vocabulary) + 1, np.int64).astype(np.uint64)
@@ -104,8 +112,13 @@ class Index:
         """(item, words) of each item that contaminates the text, with its longest stretch."""
         np = self.np
         words = tokens(text)
+        alone: dict[int, int] = {}
+        if self.lines:
+            for line in text.split("\n") if words else ():
+                own = tuple(tokens(line)) if len(line) < 1000 or len(line.split(None, MIN_WORDS)) <= MIN_WORDS else ()
+                alone.update((item, len(own)) for item in self.lines.get(own, ()))
         if not words or not self.items:
-            return []
+            return sorted(alone.items())
         get = self.number.get
         ids = np.fromiter([get(x, 0) for x in words], np.int64, len(words))
         best: dict[int, int] = {}
@@ -132,7 +145,7 @@ class Index:
                     length = self.longest(agree)
                     if length >= min(self.min_overlap, len(item)):
                         best[k] = max(best.get(k, 0), length)
-        return [(self.items[k][0], n) for k, n in sorted(best.items())]
+        return sorted([*alone.items(), *[(self.items[k][0], n) for k, n in best.items()]])
 
     def longest(self, agree) -> int:
         """Length of the longest stretch with at least ``identity`` of its places agreeing, in linear time."""
@@ -153,15 +166,24 @@ class Index:
         return best
 
 
+#: The last index that this worker process built, by the name of its block: later tasks find it ready.
+_BUILT: dict[str, Index] = {}
+
+
 def _pass(df: DataFrame, text: str, items: list[tuple[int, str]], min_overlap: int, identity: float) -> DataFrame:
     """Add to contaminating_items and overlap_words what one block of items gives."""
     bounded_batches(df.sparkSession)
-    shipped = df.sparkSession.sparkContext.broadcast(items)
+    shipped, block = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
     names = df.columns
     at = names.index("contaminating_items"), names.index("overlap_words")
 
     def run(batches):
-        own = Index(shipped.value, min_overlap, identity)
+        from siftline.llm import decontaminate as home  # this module itself, also where the function was sent by value
+
+        if block not in home._BUILT:
+            home._BUILT.clear()
+            home._BUILT[block] = Index(shipped.value, min_overlap, identity)
+        own = home._BUILT[block]
         for batch in batches:
             columns = list(batch.columns)
             hits, most = [], []

@@ -104,3 +104,34 @@ def test_random_overlaps_at_the_limit_are_found():
             for k in random.sample(range(n), substituted):
                 w[k] = "changed"
             assert (i, n) in index.overlaps(" ".join(["before"] * 9 + w + ["after"] * 9)), (n, substituted)
+
+
+def test_short_items_are_matched_as_whole_lines(spark):
+    bench = spark.createDataFrame([(1, "Yes"), (2, "the red fox"), (3, "!?")], "item_id long, text string")
+    rows = [(1, "so\nthe RED fox!\nruns"), (2, "the red fox runs"), (3, "yes"), (4, "oh yes"), (5, "!?"), (6, None)]
+    out = {r.doc_id: r.contaminating_items for r in dc.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert out == {1: [2], 2: [], 3: [1], 4: [], 5: [], 6: []}
+
+
+def test_registered_query_matches_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    items = [(r.item_id, dc.tokens(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    numbers: dict = {}
+    code = lambda ws: np.array([numbers.setdefault(w, len(numbers)) for w in ws], np.int64)
+    index = dc.Index([])
+    want = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        doc, hits = code(dc.tokens(r.text)), []
+        for item, w in items:
+            own = code(w)
+            need = min(dc.MIN_OVERLAP, len(own))
+            for shift in range(need - len(own), len(doc) - need + 1):
+                a, b = max(0, -shift), min(len(own), len(doc) - shift)
+                agree = own[a:b] == doc[shift + a : shift + b]
+                if agree.sum() >= dc.IDENTITY * need and index.longest(agree) >= need:
+                    hits.append(item)
+                    break
+        want[r.doc_id] = sorted(hits)
+    out = {r.doc_id: r for r in dc.op9_decontaminate(spark, sf).collect()}
+    assert {d: [int(x) for x in r.item_ids.split(",") if x] for d, r in out.items()} == want
+    assert {d for d, r in out.items() if r.contaminated} == {d for d, h in want.items() if h} and any(want.values())
