@@ -26,6 +26,8 @@ from ._common import bounded_batches, table
 
 DOCS_PER_LANGUAGE, BYTES_PER_DOC, DICTIONARY_BYTES = 64, 2048, 65_536
 BLOCK, LEVEL = 4096, 6
+#: Dictionaries are held by the driver and every worker, so languages are counted first.
+MAX_LANGUAGES, PARTS = 256, 64
 MIN_MARGIN = 0.01
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -35,13 +37,17 @@ _OTHERS = re.compile(r"[\W\d_]+")
 def dictionaries(labelled: DataFrame, text: str = "text", language: str = "lang", docs: int = DOCS_PER_LANGUAGE, per_doc: int = BYTES_PER_DOC, total: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Raw content per language.
 
-    Copies count once: only hashes of texts are made distinct and ranked (the window keeps ``docs`` per language in each
-    task before its shuffle), and a second pass fetches the chosen texts.
+    Copies count once: only hashes of texts are made distinct and ranked, first within ``PARTS`` parts of a language, so that
+    no task reads all of a common one, then among the ``docs`` that each part keeps; a second pass fetches the chosen texts.
     """
     rows = labelled.filter(F.col(text).isNotNull() & (F.length(text) > 0) & F.col(language).isNotNull())
     rows = rows.select(F.col(language).cast("string").alias("lang"), F.substring(text, 1, per_doc).alias("text"), F.xxhash64(F.col(text)).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs)
+    hashes = rows.select("lang", "h", F.pmod("h", F.lit(PARTS)).alias("part")).distinct()
+    kept = hashes.withColumn("n", F.row_number().over(Window.partitionBy("lang", "part").orderBy("h"))).filter(F.col("n") <= docs)
+    chosen = kept.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= docs).select("lang", "h", "n")
+    languages = labelled.select(F.col(language)).distinct().limit(MAX_LANGUAGES + 1).count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages: dictionaries are held by the driver and by every worker")
     rows = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     out: dict[str, bytes] = {}
     for row in rows.orderBy("lang", "n").collect():  # at most docs rows of per_doc characters for each language
@@ -49,6 +55,11 @@ def dictionaries(labelled: DataFrame, text: str = "text", language: str = "lang"
     return out
 
 
+def has_letter(text: str) -> bool:
+    # the class also takes numerals that aren't digits
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def letters(text: str) -> bytes:
     """Lower-case words of letters with one space between: digits and marks say little about the language."""
     return _OTHERS.sub(" ", text.lower()).encode()
@@ -72,7 +83,7 @@ class Classifier:
         return [sum([len(compress(b)) for b in blocks]) for compress in self.compressors]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         if len(self.languages) == 1:
             return self.languages[0], 1.0

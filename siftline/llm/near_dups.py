@@ -4,7 +4,8 @@ Texts are linked if the sets of their shingles of ``words`` words have a Jaccard
 0.8 the fingerprints of two texts differ in some 10 of 64 bits, with a spread of 3, so bands of the fingerprint itself would
 lose links; here the shards are the connected groups of texts that share a band of min-hashes (a chance of 0.998 and more at
 0.8). In each shard a BK-tree of the fingerprints follows only edges within ``radius``, and each pair that it finds and that
-isn't connected yet is compared shingle by shingle. Shards of more than ``TILE`` texts are split into pairs of tiles.
+isn't connected yet is compared shingle by shingle. Shards of more than ``TILE`` texts or ``TILE_BYTES`` of text are split into
+pairs of tiles, so a worker holds the shingle hashes of two tiles (or of two texts, where these are longer).
 
 Equal texts are one member, found first by an aggregate, so copies are never expanded into pairs. Every table that grows
 with the corpus stays distributed; counts of tiles are broadcast only after they have been counted.
@@ -16,6 +17,7 @@ null ids sort before others.
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from .simhash import fingerprint_of, forest, shingle_hashes, signed
 
 WORDS, SIMILARITY, RADIUS = 5, 0.8, 22
 BANDS, ROWS = 14, 4
-TILE, MAX_BROADCAST = 2048, 100_000
+TILE, TILE_BYTES, MAX_BROADCAST = 2048, 16 << 20, 100_000
 
 
 def _factors():
@@ -52,7 +54,7 @@ def min_hash_bands(hashes, factors) -> list[int]:
     return [signed(xxhash.xxh64_intdigest(row.tobytes(), i)) for i, row in enumerate(least)]
 
 
-def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS, tile: int = TILE, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """(d, sig, root, g): for every distinct pair of id (null: the smallest long) and text (as its SHA-1) the smallest id of its
     group and the group's name. A row is the one that stays if root equals d and no smaller sig of that id has the same g.
     """
@@ -63,17 +65,20 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
         factors = _factors()
         for batch in batches:
             keys = [min_hash_bands(shingle_hashes(x.as_py(), words), factors) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["d", "sig", "bands"])
+            sizes = pc.cast(pc.binary_length(batch.column(2)), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(keys, pa.list_(pa.int64()))], names=["d", "sig", "size", "bands"])
 
-    sketched = written(rows.select("d", "sig", "text").mapInArrow(sketch, "d long, sig string, bands array<long>"), "sketched")
+    sketched = written(rows.select("d", "sig", "text").mapInArrow(sketch, "d long, sig string, size long, bands array<long>"), "sketched")
     # one member per text: its smallest id
-    members = written(sketched.groupBy("sig").agg(F.min("d").alias("low"), F.first("bands").alias("bands")), "members")
+    members = written(sketched.groupBy("sig").agg(F.min("d").alias("low"), F.first("size").alias("size"), F.first("bands").alias("bands")), "members")
     keyed = members.select("sig", F.explode("bands").alias("key"))
     node = F.conv(F.substring("sig", 1, 15), 16, 10).cast("long")  # 60 bits of a SHA-1 name a text; a shared name only merges shards
     lows = keyed.groupBy("key").agg(F.min(node).alias("c"), F.max(node).alias("m")).filter("c < m").select("key", "c")
     shards = components(keyed.join(lows, "key").select(node.alias("u"), F.col("c").alias("v")))
     shards = written(shards.select(F.col("node"), F.col("root").alias("shard")), "shards")
-    tiles = shards.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile).select("shard", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    sized = shards.join(members.select(node.alias("node"), "size"), "node")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("size") / tile_bytes)).cast("int")
+    tiles = written(sized.groupBy("shard").agg(parts.alias("tiles")).filter("tiles > 1"), "tiles")
     few = tiles.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     shards = shards.join(F.broadcast(tiles) if few else tiles, "shard", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     wanted = members.withColumn("node", node).join(shards, "node").select("sig", F.col("low").alias("d"), "shard", "tiles")

@@ -2,9 +2,9 @@
 
 Writing: records of equal payloads (of at least ``min_bytes``) are found by their SHA-1; the one with the smallest key is
 a response, the others are revisits that refer to it. Each task writes its rows to archives of bounded size in the
-shared folder, one gzip member per record. An archive is written under a name of the attempt and then renamed, so a
-task that is run again, or twice, leaves whole files only, and the list of files that a finished write returns is the
-one to read.
+shared folder, one gzip member per record. An archive is written under a hidden name of the attempt and then renamed to the
+one that its task's number gives, so a task that is run again, or twice, leaves whole files only, each once, and the folder
+is what is read.
 
 Reading: archives are read with Spark's binary file source (any file system that Spark reads). Every record is checked:
 gzip's own check sum, version line, header block, Content-Length, block digest. After a failed check the reader looks for the
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ._common import bounded_batches, new_path, table
 
 #: Bytes after which a task begins its next archive; an archive is one row when it is read.
-ARCHIVE_BYTES = 16 << 20
+ARCHIVE_BYTES = 32 << 20
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/[01]\.\d+\r?\n")
@@ -184,13 +184,16 @@ def salvage_plain(data: bytes):
         yield "gap", gap, len(data), why
 
 
-def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> list[str]:
-    """Write rows (key string, uri, payload string, sha1, refers string or null) and return the archives' paths.
+def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> str:
+    """Write rows (key string, uri, payload string, sha1, refers string or null) to archives in ``folder``, and return it.
 
-    Only names reach the driver, one per ``archive_bytes``. The content of a task follows from its rows alone.
+    Nothing but a count reaches the driver. A task sorts its rows and names its archives by its number, so what it writes
+    and where follows from its rows alone, and an attempt that runs again puts the same archives in the same places.
     """
-
-    bounded_batches(rows.sparkSession)
+    spark = rows.sparkSession
+    bounded_batches(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
 
     def run(batches):
         import uuid
@@ -198,16 +201,22 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
         from pyarrow import fs
         from pyspark import TaskContext
 
-        system, base = fs.FileSystem.from_uri(folder)
-        system.create_dir(base, recursive=True)
+        system, base = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))  # Hadoop's names of the scheme
         part, attempt, names = TaskContext.get().partitionId(), uuid.uuid4().hex, []
         stream, size = None, 0
 
         def close():
             if stream is not None:
                 stream.close()
-                system.move(f"{base}/.{attempt}-{len(names):05d}", name := f"{base}/{part:05d}-{len(names):05d}-{attempt}.warc.gz")
-                names.append(name.rpartition("/")[2])
+                made, name = f"{base}/.{attempt}-{len(names):05d}", f"{base}/{part:05d}-{len(names):05d}.warc.gz"
+                try:
+                    system.move(made, name)
+                except OSError:
+                    # some file systems don't move over a file: then an earlier attempt's equal archive stays
+                    if system.get_file_info(name).type == fs.FileType.NotFound:
+                        raise
+                    system.delete_file(made)
+                names.append(name)
 
         for batch in batches:
             for key, uri, payload, sha1, refers in zip(*[batch.column(i) for i in range(5)]):
@@ -225,14 +234,15 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
                     close()
                     stream = None
         close()
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+        yield pa.RecordBatch.from_arrays([pa.array([len(names)], pa.int64())], names=["n"])
 
-    return sorted(f"{folder}/{r.name}" for r in rows.mapInArrow(run, "name string").collect())
+    rows.sortWithinPartitions("sha1", "key", "uri", "refers").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    return folder
 
 
-def read_archives(spark: SparkSession, paths: list[str], payloads: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(records, gaps) of archives: see ``RECORD``; gaps have file, start, stop and reason. An archive is one task's row."""
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content") if paths else spark.createDataFrame([], "path string, content binary")
+def read_archives(spark: SparkSession, paths: str | list[str], payloads: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records, gaps) of archives, or of folders of them: see ``RECORD``; gaps have file, start, stop and reason. An archive is one task's row."""
+    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
     schema = f"{RECORD}, gap_start long, gap_stop long, gap_reason string"
     names = [x.split()[0] for x in schema.split(", ")]
 

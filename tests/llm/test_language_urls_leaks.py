@@ -135,3 +135,28 @@ def test_registered_query_matches_brute_force(spark):
     out = {r.doc_id: r for r in dc.op9_decontaminate(spark, sf).collect()}
     assert {d: [int(x) for x in r.item_ids.split(",") if x] for d, r in out.items()} == want
     assert {d for d, r in out.items() if r.contaminated} == {d for d, h in want.items() if h} and any(want.values())
+
+
+def test_url_model_on_urls_it_has_not_seen(spark):
+    shapes = [("my", "", "start"), ("top-", "", "x/1"), ("the", "site", "en/9")]
+    held = [(f"https://{a}{t}{c}.example.com/{b}", y) for y, ts in ((1, uf._UNWANTED), (0, uf._WANTED)) for t in ts for a, c, b in shapes]
+    assert not {u for u, _ in held} & {u for u, _ in uf.labelled_urls()}
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(held)] + [(9999, "http://" + "ab." * 20_000 + "com/x")], "page_id long, url string")
+    out = {r.page_id: r.verdict for r in uf.filter_urls(df, []).collect()}
+    assert np.mean([(out[i] == "block") == bool(y) for i, (_, y) in enumerate(held)]) >= 0.9 and 9999 in out
+    unseen = ["https://gambling-hub.com/", "https://x.com/slots777/bonus", "http://sexcams.net/live", "https://buy-cheap-pills.org"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(unseen)], "page_id long, url string")
+    assert uf.filter_urls(df, []).filter("verdict = 'block'").count() == len(unseen)
+
+
+def test_numerals_and_marks_are_no_letters():
+    model = li.Classifier({"en": b"the of and", "de": b"der die das"})
+    for text in ("\u00bd \u2167", "\u00b2", "123", "_ _", "\u0301"):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("\u00bd der die")[0] == "de"
+
+
+def test_language_accuracy_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    out = li.op8_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out AND lang IS NOT NULL").collect()
+    assert len(out) > 200 and np.mean([r.lang_pred == r.lang for r in out]) >= 0.95

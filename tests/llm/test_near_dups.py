@@ -120,3 +120,33 @@ def test_unlike_texts_with_a_null_or_repeated_id_stay(spark):
     rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:]] + [(None, texts[0] + " end"), (8, texts[5])]
     out = near_dups.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(out) == 8 and {r.text.split()[0] for r in out} == {t.split()[0] for t in texts}
+
+
+def test_groups_of_a_whole_table_match_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    sets, holders = {}, {}
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[d] = {hash(tuple(w[i : i + 5])) for i in range(max(1, len(w) - 4))}
+        for x in sets[d]:
+            holders.setdefault(x, []).append(d)
+    shared: dict = {}
+    for own in holders.values():
+        for i, a in enumerate(own):
+            for b in own[i + 1 :]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    linked = {p for p, n in shared.items() if n >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - n)}
+    parent = {d: d for d, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    for options in ({}, {"tile_bytes": 1 << 16}):
+        got = {r.d: r.root for r in near_dups.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()}
+        assert sum(got[a] == got[b] for a, b in linked) >= 0.98 * len(linked)
+        assert all(find(d) == find(r) for d, r in got.items())

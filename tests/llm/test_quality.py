@@ -42,8 +42,8 @@ def test_adaptive_thresholds_and_edges(spark):
 
 def test_groups_of_different_distributions_judge_one_document_differently(spark):
     text = lambda i, k: " ".join(f"{'words' if (j + i) % 10 < 10 - k else 'word&'}{i:04d}x{j:02d}" for j in range(100))
-    plain = [(i, text(i, 0), "en", "plain") for i in range(400)]
-    code = [(1000 + i, text(i, i % 8), "en", "code") for i in range(400)]
+    plain = [(i, text(i, 0), "en", "plain") for i in range(1600)]
+    code = [(3000 + i, text(i, i % 8), "en", "code") for i in range(400)]
     same = text(1500, 6)
     out = {r.doc_id: r for r in q.quality_rules(spark.createDataFrame([*plain, *code, (1, same, "en", "plain"), (2, same, "en", "code")], SCHEMA)).collect() if r.text == same}
     assert not out[1].kept and out[1].reasons == ["symbol_rate_high"] and out[2].kept

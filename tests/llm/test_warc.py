@@ -57,3 +57,14 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     paths = w.write_archives(w.with_revisits(df, "page_id", "url", "html"), new_path(spark, "warc"))
     assert w.read_archives(spark, paths)[0].collect() == []
+
+
+def test_clashing_names_ties_and_a_second_attempt(spark):
+    rows = [(1, "u", "same", "x", 3)] * 3 + [(2, "u", "same", "y", 4), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, sha1 string, key int")
+    out = w.with_revisits(df, "page_id", "url", "html")
+    folder = new_path(spark, "warc")
+    for _ in range(2):  # written again: the same files
+        assert w.write_archives(out, folder) == folder
+    found = w.read_archives(spark, folder)[0].collect()
+    assert sorted((r.record_id, r.kind) for r in found) == [("urn:key:1", "response")] * 3 + [("urn:key:2", "revisit"), ("urn:key:null", "response")]
