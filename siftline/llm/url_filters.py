@@ -50,7 +50,7 @@ def labelled_urls(unwanted: list[str] = _UNWANTED, wanted: list[str] = _WANTED)
             end = _ENDS[i % len(_ENDS)]
             rows += [
                 (f"https://{topic}.example.{end}/", label), (f"https://www.{topic}-online.example.{end}/{topic}/{i}", label), (f"http://site{i}.example.{end}/{topic}?page={i}", label),
-                (f"https://best{topic}{i}.example.{end}/{_LANGUAGES[i % 4]}/", label), (f"https://example.{end}/a/{topic}-{i * 7 % 100}.html", label),
+                (f"https://best{topic}{i}.example.{end}/{_LANGUAGES[i % 4]}/", label), (f"https://example.{end}/a/{topic}-{i * 7 % 100}.html", label), (f"https://go-{topic}zone.example.{end}/x", label),
             ]
     for i in range(40):
         for language in _LANGUAGES:
