@@ -26,12 +26,10 @@ table stays empty; further columns are kept, also with clashing names.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import discard, let, table, written
+from ._common import discard, let, shuffle_files_go, table, written
 
 LONG, MIN_CHARS = 120, 48
 
@@ -47,18 +45,6 @@ _LINE = "|".join([
     r"[^\n.!?]+(?:[\n.!?][\s.!?]*)?",
 ])
 _SPACE = " \n\t\r\f\v"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffle_files_go(spark):
-    """Shuffle files are deleted when the execution that made them ends, instead of when the driver collects garbage."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
 def lines(text: Column) -> Column:
@@ -170,7 +156,7 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
     none = F.lit(-(1 << 63)).cast("long")
     own = F.col(f"row.`{text}`")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), none).alias("d"), F.xxhash64(F.col(text)).alias("t"))
-    with _shuffle_files_go(df.sparkSession):
+    with shuffle_files_go(df.sparkSession):
         places = repeated_places(rows.select("d", own.alias("text")), min_chars)
 
         def both(u: Column) -> Column:

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import bounded_batches, written
+from ._common import bounded_batches, discard, packed, shuffle_files_go, written
 from .components import components
 from .simhash import fingerprint_of, forest, shingle_hashes, signed
 
@@ -74,8 +74,9 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     keyed = members.select("sig", F.explode("bands").alias("key"))
     node = F.conv(F.substring("sig", 1, 15), 16, 10).cast("long")  # 60 bits of a SHA-1 name a text; a shared name only merges shards
     lows = keyed.groupBy("key").agg(F.min(node).alias("c"), F.max(node).alias("m")).filter("c < m").select("key", "c")
-    shards = components(keyed.join(lows, "key").select(node.alias("u"), F.col("c").alias("v")))
-    shards = written(shards.select(F.col("node"), F.col("root").alias("shard")), "shards")
+    found = components(keyed.join(lows, "key").select(node.alias("u"), F.col("c").alias("v")))
+    shards = all_shards = written(found.select(F.col("node"), F.col("root").alias("shard")), "shards")
+    discard(found)
     sized = shards.join(members.select(node.alias("node"), "size"), "node")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("size") / tile_bytes)).cast("int")
     tiles = written(sized.groupBy("shard").agg(parts.alias("tiles")).filter("tiles > 1"), "tiles")
@@ -134,10 +135,13 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.string())], names=["a", "b"])
 
     edges = written(dealt.mapInArrow(verify, "a string, b string"), "verified")
-    groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("sig"), F.col("root").alias("g"))
+    discard(all_shards, tiles)
+    joined = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    groups = joined.select(F.col("node").alias("sig"), F.col("root").alias("g"))
     named = members.select("sig", "low").join(groups, "sig", "left").withColumn("g", F.coalesce("g", "sig"))
     lows = named.groupBy("g").agg(F.min("low").alias("root"))
     roots = written(named.join(lows, "g").select("sig", "root", "g"), "roots")
+    discard(edges, joined, members)
     return sketched.select("d", "sig").distinct().join(roots, "sig").select("d", "sig", "root", "g")
 
 
@@ -156,10 +160,9 @@ class Member(int):
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``df`` with one row of each group: the one with the smallest id."""
-    from ._common import packed
-
     none = F.lit(-(1 << 63)).cast("long")
-    groups = written(near_duplicate_groups(df, doc_id, text, **options), "groups")
+    with shuffle_files_go(df.sparkSession):
+        groups = written(near_duplicate_groups(df, doc_id, text, **options), "groups")
     # of several texts that share the smallest id of their group, the least SHA-1 stays
     stay = groups.filter("d = root").groupBy("g").agg(F.min(F.struct("d", "sig")).alias("x")).select("x.d", "x.sig")
     gone = groups.join(stay, ["d", "sig"], "left_anti").select("d", "sig")
