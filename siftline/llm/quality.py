@@ -42,6 +42,7 @@ RATES = {
 }
 #: Documents of the next larger group that a group's quantiles are mixed with.
 PRIOR = 200
+LEAST_WORDS = 50
 MAX_BROADCAST_GROUPS = 100_000
 
 
@@ -86,7 +87,7 @@ def measure(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataF
 
 
 def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def rate(name: str) -> Column:
@@ -185,7 +186,7 @@ m AS (SELECT w.rid, doc_id, lang, source, len(words)::BIGINT AS n_words, coalesc
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM w JOIN l USING (rid) LEFT JOIN cov USING (rid)),
-r AS (SELECT *, {rates}, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+r AS (SELECT *, {rates}, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 c AS ({cells}),
 lv AS (SELECT 2 AS level, lang AS l, source AS s, rate, edge, count(*) AS n FROM c GROUP BY ALL UNION ALL SELECT 1, lang, NULL, rate, edge, count(*) FROM c GROUP BY ALL UNION ALL SELECT 0, NULL, NULL, rate, edge, count(*) FROM c GROUP BY ALL),
 k AS (SELECT *, sum(n) OVER (PARTITION BY level, l, s, rate ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY level, l, s, rate) AS total FROM lv),

@@ -51,4 +51,4 @@ def test_passages_go_from_documents_that_mostly_repeat(spark):
         docs = written(stage(spark, docs, SF), "test")
     out = {r.doc_id: r.text for r in docs.collect()}
     assert len(out.pop(5, "")) < 50  # a line at the end of a passage may stay
-    assert out == {0: rows[0][1], 1: x, 3: rows[3][1], 4: part("c", 4)}
+    assert out == {0: rows[0][1], 1: x, 3: rows[3][1]}  # what is left of 4 is under the least length
