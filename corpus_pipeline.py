@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm._common import discard, packed, table, written
+from siftline.llm._common import packed, table, written
 from siftline.llm.decontaminate import decontaminate
 from siftline.llm.line_dedup import line_dedup
 from siftline.llm.near_dups import drop_near_duplicates
-from siftline.llm.quality import quality_rules
+from siftline.llm.quality import LEAST_WORDS, quality_rules
 from siftline.llm.sentencepiece_bpe import default_model, encode_decode
 
 
@@ -28,12 +28,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the chunks of lines that an earlier one has; n_chars follows the text.
 
-    Near copies of whole documents go first, compared with the document that stays: cut up, they would no longer be alike.
-    From all others every repeated chunk goes; a document of which nothing is left goes too.
+    A document that lost lines and has fewer than ``LEAST_WORDS`` words left goes, by the quality rules' own least length; so do
+    copies of whole documents, of which little or nothing is left.
     """
-    whole = written(drop_near_duplicates(docs), "whole")
-    out = line_dedup(whole).filter("n_removed = 0 OR text <> ''")
-    discard(whole)  # the result is read from a table of line_dedup
+    out = line_dedup(docs).filter((F.col("n_removed") == 0) | (F.size(F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))) >= LEAST_WORDS))
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*[(new[c].cast(kind) if new.get(c) is not None else F.col(f"row.`{c}`")).alias(c) for c, kind in docs.dtypes])
 
