@@ -48,8 +48,8 @@ HARD_LITERALS = [
     "扫码分享", "视力保护色：", "【字体:大 中 小】", "【字体：大 中 小】", "字号：[ 大 中 小 ]", "字号：[大 中 小]", "字号：大 中 小",
     "【大 中 小】", "附件下载", "查看附件", "文件下载", "刷新 重试 诊断", "code：", "code:", "vid:", "uuid:", "requestId:",
     "播放时间：", "提示信息", "字幕 倍速 清晰度", "字幕 音轨 清晰度", "音轨 倍速 正常", "视频下载：", "宣教视频下载：", "00:00 / 00:00",
-    "确认 取消", "404 Not Found", "nginx", "缃戠珯鏀寔IPv6", "闀胯€呭姪鎵?", "闀胯€呯増", "鎵撳嵃鏈〉", "鍏抽棴绐楀彛",
-    "鍒嗕韩鍒帮細", "寰俊鎵竴鎵?", "鎵嬫満鎵爜鏌ョ湅", "闄勪欢涓嬭浇", "鏂囦欢涓嬭浇",
+    "确认 取消", "404 Not Found", "nginx", "缃戠珯鏀\ue21b寔IPv6", "闀胯€呭姪鎵?", "闀胯€呯増", "鎵撳嵃鏈\ue104〉", "鍏抽棴绐楀彛",
+    "鍒嗕韩鍒帮細", "寰\ue1bb俊鎵\ue0a1竴鎵?", "鎵嬫満鎵\ue0a4爜鏌ョ湅", "闄勪欢涓嬭浇", "鏂囦欢涓嬭浇",
 ]
 NAV_TERMS = [
     "首页", "网站首页", "网站地图", "联系我们", "当前位置", "机构职能", "机构信息", "机构概况", "中心简介", "中心领导", "组织机构",
@@ -63,7 +63,7 @@ FOOTER_TERMS = [
     "网站信息", "粤ICP备20001927号-1", "新媒体矩阵", "广州健康通微信公众号", "广州健康通小程序", "@健康广州微博", "广州卫健委南方号",
     "广州卫健委微信公众号", "广州卫健委微信视频号", "广州地区互联网医院导引平台", "Copyright", "Reference numbers",
     "WHO Reference Number", "Number of pages", "Editors", "WHO Team", "国家部委", "省政府及省直部门", "中共广东省纪委", "纪检监察组",
-    "联系电话", "联系地址", "寄信地址", "邮政编码", "邮编", "主办：", "承办：", "鐗堟潈鎵€鏈?", "ICP澶囨", "浜叕缃戝畨澶?",
-    "浜琁CP澶?", "缃戠珯鏍囪瘑鐮?", "鑱旂郴鐢佃瘽", "鎶€鏈敮鎸?", "瀹樻柟寰俊",
+    "联系电话", "联系地址", "寄信地址", "邮政编码", "邮编", "主办：", "承办：", "鐗堟潈鎵€鏈?", "ICP澶囨\ue50d", "浜\ue100叕缃戝畨澶?",
+    "浜琁CP澶?", "缃戠珯鏍囪瘑鐮?", "鑱旂郴鐢佃瘽", "鎶€鏈\ue21b敮鎸?", "瀹樻柟寰\ue1bb俊",
 ]
 PREV_NEXT_TERMS = ["上一篇", "下一篇", "上一页", "下一页", "涓婁竴绡囷細", "涓嬩竴绡囷細"]

@@ -43,7 +43,7 @@ TAIL_START = (
     r"联系电话|联系地址|寄信地址|邮政编码|邮编|国家部委|省政府及省直部门|政府网站|部门网站|下属单位|网站信息|粤ICP备20001927号-1|新媒体矩阵|"
     r"广州健康通微信公众号|广州健康通小程序|@健康广州微博|广州卫健委南方号|广州卫健委微信公众号|广州卫健委微信视频号|广州地区互联网医院导引平台|"
     r"中共广东省纪委|纪检监察组|上一篇[:：]|下一篇[:：]|相关链接|相关附件|相关文件|"
-    r"鐗堟潈鎵€鏈?|ICP澶囨|浜叕缃戝畨澶?|缃戠珯鏍囪瘑鐮?|鑱旂郴鐢佃瘽|鎶€鏈敮鎸?|瀹樻柟寰俊)"
+    "鐗堟潈鎵€鏈?|ICP澶囨\ue50d|浜\ue100叕缃戝畨澶?|缃戠珯鏍囪瘑鐮?|鑱旂郴鐢佃瘽|鎶€鏈\ue21b敮鎸?|瀹樻柟寰\ue1bb俊)"
 )
 NAV_FULL_LINES = [
     r"\[\s*(?:智能咨询|市民网页|首\s*页|机\s*构|新\s*闻|信\s*息|服\s*务|互\s*动|专\s*题)\s*\]\([^)]*\)",
@@ -76,17 +76,36 @@ def split_lines(text: Column) -> Column:
     return let(F.split(empty(text), _BREAK, -1), lambda p: F.when(F.get(p, F.size(p) - 1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
+def _may_hold(literals: list[str], patterns: str = "") -> str:
+    """A cheap pattern that a text must match to hold one of ``literals`` or of ``patterns``: a character beyond Latin-1, or one
+    of those literals that have none."""
+    plain = [rf"\Q{x}\E" for x in literals if all(ord(ch) < 256 for ch in x)]
+    return "|".join([r"[^\x00-ÿ]", *plain, *([patterns] if patterns else [])])
+
+
+#: What INLINE_PATTERNS, and the tests of navigation lines, need beside characters beyond Latin-1.
+_INLINE_PLAIN = r"#|!\[\]\(|https?://"
+_NAV_PLAIN = r"(?i:code|uuid:|requestid:|00:00|copyright|reference number|number of pages|editors|who team)|!\[\]"
+
+
 def found_terms(text: Column, names: list[str]) -> Column:
     """Terms that occur in the text, in list order."""
     return F.filter(F.array(*map(F.lit, names)), lambda t: F.contains(empty(text), t))
 
 
+def split_noise(text: Column, names: list[str], longest: int = 60) -> Column:
+    """struct<kept, removed>: the text without its short lines with a term and blank lines, and the lines that went."""
+    lines = F.filter(F.transform(split_lines(text), strip), lambda x: x != "")
+    noisy = lambda x: (F.length(x) <= longest) & x.rlike("|".join(rf"\Q{n}\E" for n in names))
+    marked = F.transform(lines, lambda x: F.struct(x.alias("line"), noisy(x).alias("noisy")))
+    pick = lambda m, which: F.transform(F.filter(m, which), lambda x: x["line"])
+    return let(marked, lambda m: F.struct(strip(F.array_join(pick(m, lambda x: ~x["noisy"]), "\n")).alias("kept"), pick(m, lambda x: x["noisy"]).alias("removed")))
+
+
 def remove_noise_lines(text: Column, names: list[str], longest: int = 60) -> tuple[Column, Column, Column]:
     """(text, removed lines, terms that are still in it): short lines with a term go, and so do blank lines."""
-    lines = F.filter(F.transform(split_lines(text), strip), lambda x: x != "")
-    noisy = lambda x: (F.length(x) <= longest) & (F.size(found_terms(x, names)) > 0)
-    kept = strip(F.array_join(F.filter(lines, lambda x: ~noisy(x)), "\n"))
-    return kept, F.filter(lines, noisy), found_terms(kept, names)
+    out = split_noise(text, names, longest)
+    return out["kept"], out["removed"], found_terms(out["kept"], names)
 
 
 def count_noise(text: Column, hard: list[str], nav: list[str], footer: list[str]) -> tuple[Column, Column]:
@@ -95,12 +114,15 @@ def count_noise(text: Column, hard: list[str], nav: list[str], footer: list[str]
 
 
 def remove_inline_noise(text: Column, hard: list[str] | None = None, patterns: list[str] | None = None) -> Column:
-    """Literals, then patterns, one after another, each replaced by a space."""
+    """Literals, then patterns, one after another, each replaced by a space; a text that can't hold any is only normalised."""
+    whole = text
     for term in terms.HARD_LITERALS if hard is None else hard:
         text = F.replace(text, F.lit(term), F.lit(" "))
     for pattern in INLINE_PATTERNS if patterns is None else patterns:
         text = F.regexp_replace(text, pattern, " ")
-    return normalize_space(text)
+    if patterns is not None:
+        return normalize_space(text)
+    return F.when(whole.rlike(_may_hold(terms.HARD_LITERALS if hard is None else hard, _INLINE_PLAIN)), normalize_space(text)).otherwise(normalize_space(whole))
 
 
 def is_nav_line(line: Column, soft: list[str] | None = None) -> Column:
@@ -111,8 +133,9 @@ def is_nav_line(line: Column, soft: list[str] | None = None) -> Column:
         out = (s == "") | s.isin(*NAV_WORDS) | (s.rlike(VIDEO_SHELL) & (n < 500)) | (s.rlike(TAIL_START) & (n < 220)) | let(hits, lambda k: ((k > 0) & (n < 120)) | (k >= 5))
         for pattern in NAV_FULL_LINES:
             out = out | s.rlike(rf"\A{pattern}\z")
-        return out
+        return F.when(s.rlike(guard), out).otherwise((s == "") | s.isin(*NAV_WORDS))
 
+    guard = _may_hold(soft, _NAV_PLAIN)
     return let(strip(line), test)
 
 

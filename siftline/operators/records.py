@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,9 +134,18 @@ WEB_RULES = [
 ]
 
 
+def looked_ahead(pattern: str) -> str:
+    """The same pattern with a look at its first character before its look behind, which is dear at every place of a text."""
+    found = re.match(r"\(\?<[=!](?:[^()\[\]]|\[[^\]]*\])*\)(\[ \\t\][+*])(-|\[\)\])?", pattern)
+    if found and (found[1].endswith("+") or found[2]):
+        return rf"(?=[ \t{(found[2] or '').strip('[]')}]){pattern}"
+    found = re.match(r"\(\?:\(\?<=[^()]*\)([,;:!]|\[\?\])\|", pattern) or re.match(r"\(\?<=[^()]*\)(\[\.\])", pattern)
+    return rf"(?={found[1]}){pattern}" if found else pattern
+
+
 def replace_all(text: Column, rules: list[tuple[str, str]] = WEB_RULES) -> Column:
     for pattern, new in rules:
-        text = F.regexp_replace(text, pattern, new)
+        text = F.regexp_replace(text, looked_ahead(pattern), new)
     return text
 
 

@@ -71,6 +71,12 @@ def _removed(spark, d):
     return w.removed_lines(before, after, "doc_id")
 
 
+def _noise_removed(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text").unionByName(literal(spark, *TEXTS))
+    rows = docs.select("doc_id", w.split_noise(c("text"), DATA_TERMS).alias("r"))
+    return rows.select("doc_id", c("r.kept").alias("clean"), F.size("r.removed").cast("long").alias("n_removed"), F.array_join(w.found_terms(c("r.kept"), DATA_TERMS), ",").alias("residual"))
+
+
 def _table_blocks(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "text").unionByName(literal(spark, *MARKDOWN))
     lines = F.split("text", "\n", -1)
@@ -97,7 +103,7 @@ def _protect(spark, d):
 
 
 def _noise_deletion(spark, d):
-    docs = read(spark, d, "documents").filter(F.length("text") > 200).select("doc_id", "text")
+    docs = read(spark, d, "documents").select("doc_id", "text")
     first = F.get(F.split("text", "\n"), 0)
     segment = F.array(F.struct(F.lit("navigation").alias("noise_type"), F.lit(1).alias("start_line"), F.array(first).alias("exact_lines"), F.lit(0.95).alias("confidence")))
     out = docs.withColumn("r", validated_noise_deletion(c("text"), segment, ["navigation"], 0.9, 0.3, 50))
@@ -109,17 +115,13 @@ _PLACE = "((i - 1)::DOUBLE / greatest(len(ls) - 1, 1))"
 
 QUERIES: dict[str, Query] = {
     "W-01": projection("documents", "doc_id", {"hits": (lambda: F.array_join(w.found_terms(c("text"), DATA_TERMS), ","), f"array_to_string({_hits(chr(99) + 'oalesce(text, ' + chr(39) * 2 + ')', DATA_TERMS)}, ',')")}, TEXTS),
-    "W-02": projection("documents", "doc_id", {
-        "clean": (lambda: w.remove_noise_lines(c("text"), DATA_TERMS)[0], strip(f"array_to_string(list_filter({_LINES}, lambda l: NOT {_NOISY}), chr(10))")),
-        "n_removed": (lambda: F.size(w.remove_noise_lines(c("text"), DATA_TERMS)[1]).cast("long"), f"len(list_filter({_LINES}, lambda l: {_NOISY}))"),
-        "residual": (lambda: F.array_join(w.remove_noise_lines(c("text"), DATA_TERMS)[2], ","), "array_to_string(" + _hits(strip(f"array_to_string(list_filter({_LINES}, lambda l: NOT {_NOISY}), chr(10))"), DATA_TERMS) + ", ',')"),
-    }, TEXTS),
+    "W-02": (_noise_removed, f"SELECT doc_id, clean, n_removed, array_to_string({_hits('clean', DATA_TERMS)}, ',') AS residual FROM (SELECT doc_id, {strip(f'array_to_string(list_filter({_LINES}, lambda l: NOT {_NOISY}), chr(10))')} AS clean, len(list_filter({_LINES}, lambda l: {_NOISY})) AS n_removed FROM (SELECT doc_id, text FROM documents UNION ALL VALUES {values(TEXTS[1])}))"),
     "W-03": projection("documents", "doc_id", {
         "nav": (lambda: w.count_noise(c("text"), terms.HARD_LITERALS, terms.NAV_TERMS + ["That"], terms.FOOTER_TERMS + ["Licensed"])[0].cast("long"), f"len({_hits('coalesce(text, chr(32))', terms.HARD_LITERALS + terms.NAV_TERMS + ['That'])}) + CASE WHEN regexp_matches(coalesce(text, ''), {quoted(w.VIDEO_SHELL)}) THEN 3 ELSE 0 END"),
         "footer": (lambda: w.count_noise(c("text"), terms.HARD_LITERALS, terms.NAV_TERMS, terms.FOOTER_TERMS + ["Licensed"])[1].cast("long"), f"len({_hits('coalesce(text, chr(32))', terms.FOOTER_TERMS + ['Licensed'])})"),
     }, TEXTS),
     "W-04": projection("documents", "doc_id", {"clean": (lambda: w.remove_inline_noise(F.coalesce(c("text"), F.lit(""))), _inline("coalesce(text, '')"))}, TEXTS),
-    "W-05": projection("documents", "doc_id", {"nav": (lambda: w.is_nav_line(F.get(F.split(F.coalesce("text", F.lit("")), "\n"), 0), SOFT), _nav("(" + strip("string_split(coalesce(text, ''), chr(10))[1]") + ")"))}, CHROME),
+    "W-05": (lambda s, d: read(s, d, "documents").select("doc_id", "text").unionByName(literal(s, *CHROME)).select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line", "l")).select("doc_id", c("line").cast("long").alias("line"), w.is_nav_line(c("l"), SOFT).alias("nav")), f"SELECT doc_id, (i - 1)::BIGINT AS line, {_nav('(' + strip('l') + ')')} AS nav FROM (SELECT doc_id, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM (SELECT doc_id, text FROM documents UNION ALL VALUES {values(CHROME[1])})))"),
     "W-06": (lambda s, d: read(s, d, "documents").select("doc_id", "text").unionByName(literal(s, *CHROME)).select("doc_id", w.truncate_head(c("text"), soft=SOFT).alias("text")), None),
     "W-07": (lambda s, d: read(s, d, "documents").select("doc_id", "text").unionByName(literal(s, *CHROME)).select("doc_id", w.truncate_tail(c("text")).alias("text")), None),
     "W-08": (lambda s, d: read(s, d, "documents").select("doc_id", "text").unionByName(literal(s, *CHROME)).select("doc_id", w.strip_noise_lines(c("text"), soft=SOFT).alias("text")), f"SELECT doc_id, {_space('array_to_string(list_filter(list_transform(regexp_split_to_array(text, ' + quoted(chr(92) + 'n') + '), lambda l: ' + _inline('l') + '), lambda l: NOT ' + _nav('l') + '), chr(10))')} AS text FROM (SELECT doc_id, text FROM documents UNION ALL VALUES {values(CHROME[1])})"),

@@ -78,7 +78,7 @@ def _article_input(spark, d):
 
 
 def _deduplicated(spark, d):
-    kept, gone = stages.canonical_only(_article_input(spark, d).withColumn("clean_text", F.left("html", F.lit(200))))
+    kept, gone = stages.canonical_only(_article_input(spark, d).withColumn("clean_text", F.col("html")))
     return kept.select("doc_id", F.lit("kept").alias("status")).union(gone.select("doc_id", F.lit("quarantined")))
 
 
@@ -123,7 +123,7 @@ QUERIES: dict[str, Query] = {
     "SS-08": (lambda sp, d: _events(sp, d).join(callbacks.latest_state(_events(sp, d), "user_id", "event_id", c("event_type") != "error").select(c("request_id").alias("user_id"), "succeeded"), "user_id", "left").select("event_id", F.when(c("succeeded"), "success").otherwise("active").alias("status")), "SELECT event_id, CASE WHEN bool_or(event_type <> 'error') OVER (PARTITION BY user_id) THEN 'success' ELSE 'active' END AS status FROM events"),
     "SS-11": (_retry, "SELECT 0 AS round, true AS success, count(*) AS n FROM documents WHERE doc_id % 3 <> 0 UNION ALL SELECT 2, false, count(*) FROM documents WHERE doc_id % 3 = 0"),
     "SG-A": (lambda sp, d: stages.article_pipeline(_article_input(sp, d), DATA_TERMS)[0].select("id", F.length("text").alias("n"), "metadata.label"), None),
-    "SG-A10": (_deduplicated, "SELECT page_id AS doc_id, CASE WHEN page_id = min(page_id) OVER (PARTITION BY left(html, 200)) THEN 'kept' ELSE 'quarantined' END AS status FROM pages"),
+    "SG-A10": (_deduplicated, "SELECT page_id AS doc_id, CASE WHEN page_id = min(page_id) OVER (PARTITION BY html) THEN 'kept' ELSE 'quarantined' END AS status FROM pages"),
     "SG-D": (lambda sp, d: stages.lane_pipeline(docs(sp, d)).select("doc_id", F.length("text").alias("n")), None),
     "CFG-01": (lambda sp, d: stages.build(["text_length_filter", "document_deduplicator"], {"text_length_filter": {"min_len": 100}})(docs(sp, d)).select("doc_id"), "SELECT min(doc_id) AS doc_id FROM documents WHERE length(text) BETWEEN 100 AND 3000000 GROUP BY text"),
     "SK-10b": (lambda sp, d: sinks.export_documents(docs(sp, d, "lang"), "doc_id", "text", ["lang"]).select("id", "metadata.lang"), "SELECT doc_id::VARCHAR AS id, lang FROM documents WHERE text <> ''"),

@@ -239,7 +239,7 @@ QUERIES: dict[str, Query] = {
     "JN-04": (_manual_assets, "WITH a AS (SELECT page_id AS doc_id, url, 'name' || page_id AS name FROM pages), g AS (SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN url ELSE 'other' END AS mu, CASE WHEN doc_id % 12 = 0 THEN name ELSE 'none' END AS mn FROM a WHERE doc_id % 4 = 0) SELECT g.doc_id, a.url IS NOT NULL AS matched FROM g LEFT JOIN a ON a.doc_id = g.doc_id AND (mu = url OR mn = name)"),
     "JN-05": (_aligned, "WITH b AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents), a AS (SELECT doc_id % 50 AS k, doc_id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id)::INTEGER AS occ FROM documents WHERE doc_id % 7 <> 0) SELECT b.k, b.occ, b.doc_id AS before, coalesce(a.doc_id, -1) AS after FROM b LEFT JOIN a USING (k, occ)"),
     "JN-06": (_survivors, "WITH h AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY regexp_replace(text, '[\\s\\x0B\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', '', 'g')) AS survivor FROM documents) SELECT * FROM h WHERE doc_id <> survivor"),
-    "JN-07": (lambda sp, d: read(sp, d, "customer").join(F.broadcast(read(sp, d, "nation").limit(1000)), c("c_nationkey") == c("n_nationkey"), "left").groupBy("n_name").agg(n_rows().alias("n")), "SELECT n_name, count(*) AS n FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
+    "JN-07": (lambda sp, d: read(sp, d, "customer").join(read(sp, d, "nation"), c("c_nationkey") == c("n_nationkey"), "left").groupBy("n_name").agg(n_rows().alias("n")), "SELECT n_name, count(*) AS n FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
     "JN-08": (lambda sp, d: docs(sp, d).join(read(sp, d, "labels").withColumnRenamed("doc_id", "ordinal"), c("doc_id") == c("ordinal"), "left").select("doc_id", c("ordinal").isNotNull().alias("audited")), "SELECT d.doc_id, l.doc_id IS NOT NULL AS audited FROM documents d LEFT JOIN labels l USING (doc_id)"),
     "JN-09": (lambda sp, d: docs(sp, d).filter("doc_id % 2 = 0").join(docs(sp, d).filter("doc_id % 6 = 0").select("doc_id"), "doc_id", "left_semi").agg(n_rows().alias("shared")), "SELECT count(*) AS shared FROM documents WHERE doc_id % 6 = 0"),
     "JN-10": (_audit, "SELECT coalesce(o_orderkey, l_orderkey) AS id, CASE WHEN o_orderstatus IS NULL THEN 'missing_fact' WHEN l_linestatus IS NULL THEN 'missing_index' WHEN o_orderstatus <> l_linestatus THEN 'status_differs' ELSE 'ok' END AS issue FROM orders FULL JOIN (SELECT * FROM lineitem WHERE l_linenumber = 1) ON o_orderkey = l_orderkey"),
