@@ -29,14 +29,14 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there and nothing is computed twice.
 
     Unlike ``checkpoint()`` the rows are computed once, stay columnar and compressed, and survive lost executors.
     """
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out.siftline_path = path
     return out

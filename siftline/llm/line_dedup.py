@@ -164,7 +164,7 @@ def line_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
             return F.struct(texts.alias("x"), _left(u, F.transform(F.filter("x", lambda p: p["later"]), lambda p: p["se"])).alias("z"))
 
         listed = rows.join(places, ["d", "t"], "left").withColumn("y", F.when(F.col("x").isNotNull(), let(lines(own), both)))
-        listed = written(listed.select("row", "d", "t", "y.x", "y.z"), "listed")
+        listed = written(listed.select("row", "d", "t", "y.x", "y.z"), "listed", "zstd")
         discard(places)
         texts = listed.select("d", "t", F.explode("x").alias("p")).select("d", "t", "p.*")
         unequal = written(texts.groupBy("h").agg(F.min("txt").alias("a"), F.max("txt").alias("b")).filter("a <> b").select("h"), "unequal")
