@@ -8,7 +8,7 @@ from collections.abc import Callable
 from .shipping import ship
 
 #: Modules with QUERIES: name -> (function of (spark, sf_dir), SQL or None).
-MODULES = ("siftline.plans.flagship", "siftline.plans.scalars", "siftline.plans.lines", "siftline.plans.records", "siftline.plans.more")
+MODULES = ("siftline.plans.flagship", "siftline.plans.scalars", "siftline.plans.lines", "siftline.plans.records", "siftline.plans.more", "siftline.plans.workflow")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:

@@ -68,3 +68,22 @@ def resolve(paths: DataFrame, listing: DataFrame, roots: list[str]) -> DataFrame
     tries = F.array(F.col("raw"), *[F.concat(F.lit(r.rstrip("/") + "/"), "raw") for r in roots], *[F.concat(F.lit(r.rstrip("/") + "/"), F.element_at(F.split("raw", "/"), -1)) for r in roots])
     rows = paths.select("id", F.posexplode(tries).alias("rank", "path"))
     return rows.join(listing.select("path").distinct(), "path").groupBy("id").agg(F.min_by("path", "rank").alias("path"))
+
+
+def expand(spark: SparkSession, values: list[str]) -> list[str]:
+    """Files that paths, folders (their *.jsonl) and globs name, in order and each once. Driver-side: names only."""
+    jvm, out = spark.sparkContext._jvm, []
+    for value in values:
+        path = jvm.org.apache.hadoop.fs.Path(value)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if system.exists(path) and system.getFileStatus(path).isDirectory():
+            path = jvm.org.apache.hadoop.fs.Path(path, "*.jsonl")
+        found = sorted(x.getPath().toString() for x in system.globStatus(path) or [])
+        out += found if found or "*" in value else [value]
+    return list(dict.fromkeys(out))
+
+
+def asset_map(spark: SparkSession, path: str) -> DataFrame:
+    """A manual asset map from CSV or JSON, with all columns as strings and nulls empty."""
+    df = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.json(path, multiLine=True, primitivesAsString=True)
+    return df.na.fill("")

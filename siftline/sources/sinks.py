@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,7 +29,8 @@ def write_quarantine(df: DataFrame, path: str, flags: str, allowed: list[str]) -
 
 
 def export_fields(df: DataFrame, fields: dict[str, str], missing: str = "error") -> DataFrame:
-    """Project dotted paths under new names; a path that the schema lacks is an error, a null, or skips all rows."""
+    """Project dotted paths under new names; a path that the schema lacks is an error or a null, or, with skip, so
+    is missing in every record. Where records differ in their fields, see :func:`export_json_fields`."""
     if missing not in ("error", "null", "skip"):
         raise ValueError(f"unknown policy: {missing}")
     have = set()
@@ -47,6 +50,44 @@ def export_fields(df: DataFrame, fields: dict[str, str], missing: str = "error")
     return df.select(*[(F.col(p) if p in have else F.lit(None).cast("string")).alias(name) for name, p in fields.items()])
 
 
+def json_presence(column: str, path: str) -> Column:
+    """Whether the JSON object in ``column`` has a field at the dotted path; a null value is there, an absent key isn't."""
+    parent, _, name = path.rpartition(".")
+    inner = F.get_json_object(column, f"$.{parent}") if parent else F.col(column)
+    return F.coalesce(F.array_contains(F.json_object_keys(inner), name), F.lit(False))
+
+
+def export_json_fields(df: DataFrame, column: str, fields: dict[str, str] | list[tuple[str, str]], missing: str = "error", keep: list[str] | None = None) -> DataFrame:
+    """Project dotted paths of a JSON column under new names, by record: a missing path is an error when the row is read, a
+    null, or skips that record. Names may not repeat."""
+    pairs = list(fields.items()) if isinstance(fields, dict) else fields
+    names = [*(keep or []), *[n for n, _ in pairs]]
+    if missing not in ("error", "null", "skip"):
+        raise ValueError(f"unknown policy: {missing}")
+    if len(set(names)) < len(names):
+        raise ValueError(f"names repeat: {names}")
+    if missing == "skip":
+        for _, path in pairs:
+            df = df.filter(json_presence(column, path))
+    value = lambda path: F.get_json_object(column, f"$.{path}")
+    if missing == "error":
+        value = lambda path: F.when(json_presence(column, path), F.get_json_object(column, f"$.{path}")).otherwise(F.raise_error(F.lit(f"missing field: {path}")))
+    return df.select(*(keep or []), *[value(path).alias(name) for name, path in pairs])
+
+
+def missing_counts(df: DataFrame, column: str, paths: list[str]) -> DataFrame:
+    """(path, n): how many records miss each path."""
+    counts = df.agg(*[F.count_if(~json_presence(column, p)).alias(f"c{i}") for i, p in enumerate(paths)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(p).alias("path"), F.col(f"c{i}").alias("n")) for i, p in enumerate(paths)])).alias("x")).select("x.*")
+
+
+def report(df: DataFrame, title: str = "") -> tuple[str, str]:
+    """A one-row aggregate as JSON and as a Markdown table."""
+    row = df.first().asDict(recursive=True)
+    table = "\n".join([f"# {title}", "", "| name | value |", "|---|---|", *[f"| {k} | {v} |" for k, v in row.items()], ""])
+    return json.dumps(row, ensure_ascii=False, indent=2, default=str), table
+
+
 def export_documents(df: DataFrame, doc_id: str, text: str, metadata: list[str]) -> DataFrame:
     """(id, text, metadata struct); documents without text are left out."""
     return df.filter(F.coalesce(F.col(text), F.lit("")) != "").select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"), F.struct(*metadata).alias("metadata"))
