@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -16,10 +17,13 @@ from ..shipping import ship
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is missing (tests, a laptop) a temporary folder is made and stored in the session.
+    Only where the setting is missing and all runs in one process (tests, a laptop) a temporary folder is made and stored in the
+    session; on a cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="siftline-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -210,7 +210,7 @@ class Codec:
             parts = [word] if word.lstrip(SPACE).isalpha() else self.cuts(word)
             if len(parts) > 1:
                 found = b"".join([self.word(p) for p in parts])
-                plain = "".join([self.odd.get(p) or p.replace(SPACE, " ") for p in parts])
+                plain = "".join([self.odd.get(p, p.replace(SPACE, " ")) for p in parts])
             else:
                 ids = self._part(word)
                 found, plain = array("i", ids).tobytes(), self._plain(ids)
@@ -244,10 +244,12 @@ class Codec:
         """Ids of a text, as native 32-bit integers, and the text that they decode to."""
         if not text:
             return b"", ""
+        if len(self.odd) > REMEMBERED:
+            self.known, self.older, self.odd = {}, {}, {}
         words = self.words(SPACE + text.replace(" ", SPACE))
         ids = b"".join(map(self.word, words))
         odd = self.odd
-        plain = "".join([odd.get(w) or w for w in words] if odd else words).replace(SPACE, " ")
+        plain = "".join([odd.get(w, w) for w in words] if odd else words).replace(SPACE, " ")
         return ids, plain.removeprefix(" ")
 
     def encode(self, text: str | None) -> list[int]:

@@ -17,7 +17,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import private, table
 
 #: Size of the hashed feature space; a power of two.
 DIMENSIONS = 4096
@@ -124,6 +124,7 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str, str]], model: tuple[l
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are applied in one projection")
     model = model or train(labelled_urls())
+    (ruled,) = private(df, "ruled")
     host, path = host_and_path(F.col(url))
     df = df.withColumns({"host": host, "path": path})
     ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1:]))
@@ -131,8 +132,8 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str, str]], model: tuple[l
     hits = [fit & F.col("path").startswith(p) for fit, (_, _, p) in zip(fits, ordered)]
     rule = F.coalesce(*[F.when(hit, F.lit(h + p)) for hit, (_, h, p) in zip(hits, ordered)], F.lit(None).cast("string"))
     said = F.coalesce(*[F.when(hit, F.lit(v)) for hit, (v, _, _) in zip(hits, ordered)], F.lit(None).cast("string"))
-    df = df.withColumns({"rule": rule, "logit_micro": _score_of(F.col("host"), F.col("path"), model), "__ruled": said})
-    return df.withColumn("verdict", F.coalesce("__ruled", F.when(F.col("logit_micro") > threshold, "block").otherwise("allow"))).drop("__ruled")
+    df = df.withColumns({"rule": rule, "logit_micro": _score_of(F.col("host"), F.col("path"), model), ruled: said})
+    return df.withColumn("verdict", F.coalesce(ruled, F.when(F.col("logit_micro") > threshold, "block").otherwise("allow"))).drop(ruled)
 
 
 #: The rules of the registered query.
